@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import NA_TOKENS, dtypes, q, quoted
+from ..session import local_table, small_table
 
 
 def normalize_nulls(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
@@ -108,7 +109,7 @@ def align_report(df: DataFrame, reference: DataFrame | Iterable[str], label_col:
     have = [c for c in df.columns if c != label_col]
     rows = ([(c, "added") for c in wanted if c not in set(have)]
             + [(c, "removed") for c in have if c not in set(wanted)])
-    return df.sparkSession.createDataFrame(rows, "`column` string, action string")
+    return local_table(df.sparkSession, rows, "`column` string, action string")
 
 
 def add_flag(df: DataFrame, condition: Column, name: str, after: str | None = None) -> DataFrame:
@@ -143,10 +144,9 @@ def label_index(df: DataFrame, label_col: str = "label", out: str = "label_index
 
     Labels number at most a few thousand; a column with more than 100,000 values is not a label and is refused.
     """
-    from ..session import small_table
     labels = df.where(q(label_col).isNotNull()).select(q(label_col).cast("string").alias("_label")).distinct()
     _, rows = small_table(labels)
     if rows is None:
         raise ValueError(f"{label_col!r} has too many distinct values for a label")
     numbered = [(v, i) for i, v in enumerate(sorted((r[0] for r in rows), key=lambda v: v.encode()))]
-    return F.broadcast(df.sparkSession.createDataFrame(numbered, f"_label string, {quoted(out)} int"))
+    return F.broadcast(local_table(df.sparkSession, numbered, f"_label string, {quoted(out)} int"))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import columns_of, dtypes, is_numeric, q
-from ..session import small_table
+from ..session import local_table, small_table
 from .columns import label_index
 from .ranking import number_rows
 from .sampling import stratified_split
@@ -48,7 +48,7 @@ def encode_features(df: DataFrame, columns: list[str] | None = None) -> DataFram
         _, rows = small_table(values, MAX_CATEGORIES)
         if rows is not None:
             texts = sorted((r[0] for r in rows), key=lambda v: v.encode())
-            codes = F.broadcast(df.sparkSession.createDataFrame(list(zip(texts, range(len(texts)))), "_value string, _code bigint"))
+            codes = F.broadcast(local_table(df.sparkSession, list(zip(texts, range(len(texts)))), "_value string, _code bigint"))
         else:
             codes = number_rows(values, (), "_value", out="_rn").select("_value", (q("_rn") - 1).alias("_code"))
         df = df.join(codes, q(c) == q("_value"), "left").drop("_value", c).withColumnRenamed("_code", c)
@@ -121,7 +121,7 @@ def save_model(model: TrainedModel, path: str) -> str:
     spark = SparkSession.active()
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     about = [(model.label_col, model.features, model.text_features, model.labels)]
-    (spark.createDataFrame(about, "label_col string, features array<string>, text_features array<string>, labels array<string>")
+    (local_table(spark, about, "label_col string, features array<string>, text_features array<string>, labels array<string>")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/about"))
     return path
 
@@ -141,7 +141,7 @@ def feature_importance(model: TrainedModel) -> DataFrame:
     """``(feature, importance_pct)``, largest first."""
     parts = model.classifier.models if hasattr(model.classifier, "models") else [model.classifier]
     rows = [(c, 100 * sum(float(p.featureImportances[i]) for p in parts) / len(parts)) for i, c in enumerate(model.features)]
-    return SparkSession.active().createDataFrame(rows, "feature string, importance_pct double").orderBy(F.desc("importance_pct"), "feature")
+    return local_table(SparkSession.active(), rows, "feature string, importance_pct double").orderBy(F.desc("importance_pct"), "feature")
 
 
 def prune_features(df: DataFrame, importance: DataFrame, threshold_pct: float = 0.1) -> DataFrame:
@@ -199,7 +199,7 @@ def confusion_matrix(scored: DataFrame, labels: list[str], label_col: str = "lab
     """One row per actual label with one column ``pred_<label>`` per label, in the given order; zeros are filled in."""
     cells = _cells(scored, label_col, prediction_col)
     wide = cells.groupBy("actual").agg(*[F.sum(F.when(q("predicted") == c, q("n")).otherwise(0)).alias(f"pred_{c}") for c in labels])
-    rows = scored.sparkSession.createDataFrame([(i, c) for i, c in enumerate(labels)], "_i int, actual string")
+    rows = local_table(scored.sparkSession, [(i, c) for i, c in enumerate(labels)], "_i int, actual string")
     return F.broadcast(rows).join(wide, "actual", "left").orderBy("_i").select("actual", *[F.coalesce(q(f"pred_{c}"), F.lit(0)).alias(f"pred_{c}") for c in labels])
 
 
@@ -209,7 +209,7 @@ def classification_report(scored: DataFrame, labels: list[str], label_col: str =
     hit = F.when(q("actual") == q("predicted"), q("n")).otherwise(0)
     sides = cells.select(F.inline(F.array(F.struct(q("actual").alias("label"), q("n").alias("actual_n"), F.lit(0).cast("bigint").alias("pred_n"), hit.alias("tp")),
                                           F.struct(q("predicted").alias("label"), F.lit(0).cast("bigint").alias("actual_n"), q("n").alias("pred_n"), F.lit(0).cast("bigint").alias("tp")))))
-    rows = F.broadcast(scored.sparkSession.createDataFrame([(c,) for c in labels], "label string"))
+    rows = F.broadcast(local_table(scored.sparkSession, [(c,) for c in labels], "label string"))
     zero = F.lit(0.0)
     per = rows.join(sides.groupBy("label").agg(F.sum("actual_n").alias("support"), F.sum("pred_n").alias("pred_n"), F.sum("tp").alias("tp")), "label", "left").fillna(0)
     per = (per.withColumn("precision", F.coalesce(F.try_divide("tp", "pred_n"), zero)).withColumn("recall", F.coalesce(F.try_divide("tp", "support"), zero))

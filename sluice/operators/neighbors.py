@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import dtypes, q
-from ..session import small_table, written
+from ..session import local_table, small_table, written
 from .ranking import COPY_BLOCK
 
 BLOCK_ROWS = 2048
@@ -97,7 +97,7 @@ def _search(queries: DataFrame, points: DataFrame, key_type: T.DataType, k: int,
     spans: dict[str, list[tuple]] = {}
     for c in cells:
         spans.setdefault(c["_g"], []).append((c["_cell"], c["near"], c["far"]))
-    blocks = queries.sparkSession.createDataFrame(
+    blocks = local_table(queries.sparkSession, 
         [(c["_g"], c["_cell"], -(-c["n"] // block_rows)) for c in cells], "_g string, _cell int, _blocks int")
 
     schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_d", T.DoubleType()), T.StructField("_n", key_type),

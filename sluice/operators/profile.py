@@ -11,9 +11,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import any_null, bucket_ratio, class_of, classify_value, columns_of, dtypes, is_inf, numeric, q, quoted
+from ..session import local_table
 from .quantiles import exact_quantiles
 
-HLL_ERROR = 0.01
 SKETCH_ITEMS = 10_000
 
 
@@ -87,14 +87,14 @@ def constant_columns(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
 def low_variance_columns(df: DataFrame, max_unique: int = 5, columns: Iterable[str] | None = None) -> DataFrame:
     """Columns with 2..``max_unique`` distinct non-null values, and the sorted values.
 
-    A sketch with 1 % error first rules out columns with far more values (a wide margin keeps every real hit), so
+    A sketch with 5 % error first rules out columns with far more values (a wide margin keeps every real hit), so
     that only a few columns are counted exactly.
     """
     columns = _names(df, columns)
-    rough = df.agg(*[F.approx_count_distinct(q(c).cast("string"), HLL_ERROR).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    rough = df.agg(*[F.approx_count_distinct(q(c).cast("string")).alias(f"d{i}") for i, c in enumerate(columns)]).first()
     few = [c for i, c in enumerate(columns) if rough[f"d{i}"] <= 2 * max_unique + 64]
     if not few:
-        return df.sparkSession.createDataFrame([], "`column` string, n_unique bigint, `values` array<string>")
+        return local_table(df.sparkSession, [], "`column` string, n_unique bigint, `values` array<string>")
     distinct = long_values(df, few).where(q("value").isNotNull()).distinct()
     return (distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"), F.array_sort(F.collect_list("value")).alias("values"))
             .where(q("n_unique").between(2, max_unique)))
@@ -131,7 +131,7 @@ def _frequent(df: DataFrame, columns: list[str], min_ratio: float) -> DataFrame:
     picks = [(i, x["item"]) for i in range(len(columns)) for x in (row[f"t{i}"] or [])
              if x["item"] is not None and x["count"] >= min_ratio * row[f"n{i}"]]
     if not picks:
-        return df.sparkSession.createDataFrame([], "`column` string, value string, n bigint, n_values bigint")
+        return local_table(df.sparkSession, [], "`column` string, value string, n bigint, n_values bigint")
     exact = texts.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))],
                       *[F.count_if(q(f"c{i}") == F.lit(v)).alias(f"v{j}") for j, (i, v) in enumerate(picks)])
     entries = [F.struct(F.lit(columns[i]).alias("column"), F.lit(v).alias("value"), q(f"v{j}").alias("n"), q(f"n{i}").alias("n_values"))
@@ -146,7 +146,7 @@ def dominance_report(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
     """All values of every column whose top value holds at least half of the non-null rows, with the ratio's range."""
     found = {r["column"]: r for r in dominance(df, columns, min_ratio=0.5).collect()}
     if not found:
-        return df.sparkSession.createDataFrame([], "`column` string, bucket string, value string, n bigint, ratio double")
+        return local_table(df.sparkSession, [], "`column` string, bucket string, value string, n bigint, ratio double")
     info = F.create_map(*[F.lit(x) for c, r in found.items() for x in (c, r["ratio"])])
     total = F.create_map(*[F.lit(x) for c, r in found.items() for x in (c, r["n_values"])])
     return value_counts(df, list(found)).select(
@@ -157,7 +157,7 @@ def value_label_breakdown(df: DataFrame, label_col: str = "label", columns: Iter
     """``(column, value, label, n)`` for the columns of the dominance report; NULL values and labels are left out."""
     found = [r["column"] for r in dominance(df, _names(df, columns, [label_col]), min_ratio=0.5).collect()]
     if not found:
-        return df.sparkSession.createDataFrame([], "`column` string, value string, label string, n bigint")
+        return local_table(df.sparkSession, [], "`column` string, value string, label string, n bigint")
     labelled = df.where(q(label_col).isNotNull()).withColumn("_label", q(label_col).cast("string"))
     return (long_values(labelled, found, ["_label"]).where(q("value").isNotNull())
             .groupBy("column", "value", q("_label").alias("label")).agg(F.count(F.lit(1)).alias("n")))
@@ -167,7 +167,7 @@ def dominant_columns(df: DataFrame, low: float, high: float = 1.0, columns: Iter
     """Columns whose top ratio lies in [low, high], with the number of distinct values."""
     found = {r["column"]: r for r in dominance(df, columns, min_ratio=low).where(q("ratio") <= high).collect()}
     if not found:
-        return df.sparkSession.createDataFrame([], "`column` string, value string, n bigint, ratio double, n_unique bigint")
+        return local_table(df.sparkSession, [], "`column` string, value string, n bigint, ratio double, n_unique bigint")
     fields = [F.create_map(*[F.lit(x) for c, r in found.items() for x in (c, r[f])])[q("column")].alias(f) for f in ("value", "n", "ratio")]
     distinct = long_values(df, list(found)).where(q("value").isNotNull()).distinct()
     unique = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
@@ -209,7 +209,7 @@ def missing_by_label(df: DataFrame, label_col: str = "label") -> DataFrame:
 def medians(df: DataFrame, columns: Iterable[str], exclude_inf: bool = True) -> DataFrame:
     """Exact median per column of the values that are numbers."""
     values = median_values(df, columns, exclude_inf)
-    return df.sparkSession.createDataFrame(list(values.items()), "`column` string, median double")
+    return local_table(df.sparkSession, list(values.items()), "`column` string, median double")
 
 
 def median_values(df: DataFrame, columns: Iterable[str], exclude_inf: bool = True) -> dict[str, float | None]:
@@ -228,14 +228,14 @@ def quartile_values(df: DataFrame, columns: Iterable[str] | None = None) -> dict
 def quartiles(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """First and third quartile with linear interpolation, per numeric column."""
     rows = [(c, *v) for c, v in quartile_values(df, columns).items()]
-    return df.sparkSession.createDataFrame(rows, "`column` string, q1 double, q3 double")
+    return local_table(df.sparkSession, rows, "`column` string, q1 double, q3 double")
 
 
 def outlier_tests(df: DataFrame, columns: Iterable[str] | None = None, k: float = 1.5) -> dict[str, Column]:
     """Per column the test for values beyond ``k`` interquartile ranges from the quartiles; False for NULL."""
     types, tests = dtypes(df), {}
     for c, (q1, q3) in quartile_values(df, columns).items():
-        if q1 is not None:
+        if q1 is not None and math.isfinite(q3 - q1):
             value, reach = numeric(c, types[c]), k * (q3 - q1)
             tests[c] = F.coalesce((value < q1 - reach) | (value > q3 + reach), F.lit(False))
     return tests
@@ -254,7 +254,7 @@ def outlier_report(df: DataFrame, columns: Iterable[str] | None = None, k: float
     keep = ["label"] if label_col else []
     grouped = df.groupBy(q(label_col).alias("label")) if label_col else df.groupBy()
     if not tests:
-        return df.sparkSession.createDataFrame([], "label string, `column` string, n bigint").select(*keep, "column", "n")
+        return local_table(df.sparkSession, [], "label string, `column` string, n bigint").select(*keep, "column", "n")
     row = grouped.agg(*[F.count_if(t).alias(f"m{i}") for i, t in enumerate(tests.values())])
     return per_column(row, list(tests), {"n": "m"}, keep).where(q("n") > 0)
 
@@ -262,7 +262,7 @@ def outlier_report(df: DataFrame, columns: Iterable[str] | None = None, k: float
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Up to ``bins`` distinct values: rows per value. Beyond that: rows in equal-width bins, the last one closed."""
     values = df.select(numeric(column, dtypes(df)[column]).alias("x")).where(q("x").isNotNull() & ~is_inf(q("x")))
-    row = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.approx_count_distinct("x", HLL_ERROR).alias("d")).first()
+    row = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.approx_count_distinct("x").alias("d")).first()
     many = row["d"] > 2 * bins + 64 or (row["d"] > 0 and values.distinct().limit(bins + 1).count() > bins)
     if not many:
         return values.groupBy(q("x").alias("low")).agg(F.count(F.lit(1)).alias("n")).select("low", q("low").alias("high"), "n")

@@ -27,14 +27,10 @@ def impute_inf(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame
     """
     affected = inf_columns(df) if columns is None else list(columns)
     middle, types = median_values(df, affected), dtypes(df)
-    out = []
-    for c in df.columns:
-        if c in middle:
-            value = numeric(c, types[c])
-            out.append(F.when(is_inf(value), F.lit(middle[c]).cast("double")).otherwise(value).alias(c))
-        else:
-            out.append(q(c))
-    return df.select(*out)
+    # Reading the numbers is a step of its own, so that the text of a value is parsed once.
+    read = df.select(*[numeric(c, types[c]).alias(c) if c in middle else q(c) for c in df.columns])
+    fixed = {c: F.when(is_inf(q(c)), F.lit(m).cast("double")).otherwise(q(c)).alias(c) for c, m in middle.items()}
+    return read.select(*[fixed.get(c, q(c)) for c in df.columns])
 
 
 def drop_inf_columns(df: DataFrame, threshold: float = 0.30) -> DataFrame:

@@ -5,7 +5,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cpus: int | str = 8, app: str = "sluice") -> SparkSession:
@@ -51,4 +53,13 @@ def small_table(df: DataFrame, max_rows: int = 100_000) -> tuple[DataFrame, list
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df, None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
+    return F.broadcast(local_table(df.sparkSession, rows, df.schema)), rows
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A table of a few rows that are at hand; Spark knows its size and needs no tasks to read it."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
+    arrays = [pa.array([v.asDict(True) if hasattr(v, "asDict") else v for v in c], type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)

@@ -5,6 +5,7 @@ import csv
 import io
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -77,9 +78,16 @@ def read_folder(spark: SparkSession, path: str, recursive: bool = True, include_
 
 
 def read_checked(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Reads CSV by schema and keeps the text of lines that do not fit it in ``_corrupt_record``."""
-    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return read_table(spark, path, schema, fmt="csv", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False, **options)
+    """Reads CSV by schema and keeps the text of lines that do not fit it in ``_corrupt_record``.
+
+    A line does not fit if it has too few or too many fields, or a text that its type cannot take.
+    """
+    texts = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields], T.StructField(CORRUPT, T.StringType())])
+    raw = read_table(spark, path, texts, fmt="csv", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+    typed = {f.name: q(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = reduce(or_, [q(c).isNotNull() & value.isNull() for c, value in typed.items()], q(CORRUPT).isNotNull())
+    line = F.coalesce(q(CORRUPT), F.concat_ws(",", *[F.coalesce(q(c), F.lit("")) for c in typed]))
+    return raw.select(*[value.alias(c) for c, value in typed.items()], F.when(bad, line).alias(CORRUPT))
 
 
 def rejected_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
