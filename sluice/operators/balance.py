@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dtypes, is_numeric, q
 from ..session import small_table, written
 from .neighbors import knn_lists, vector_of
-from .ranking import COPY_BLOCK, take_first
+from .ranking import repeat_rows, take_first
 
 BORDER_NEIGHBORS = 10
 
@@ -82,7 +82,7 @@ def oversample(df: DataFrame, targets: DataFrame, features: str | list[str], lab
     members = df.where(q(label_col).cast("string").isin(list(needs)))
     near = knn_lists(seeds.where(q("_copies") > 0), members, key, features, k, within=label_col)
     lists = near.withColumn("_near", F.transform("neighbors", lambda n: n["vector"])).withColumn("_v", vector_of(df, features))
-    made = _copies(lists.select(q(label_col), q(key), "_v", "_near", "_copies"), label_col, key)
+    made = repeat_rows(lists.select(q(label_col), q(key), "_v", "_near", "_copies"), "_copies", "_copy")
     pick = F.md5(F.concat_ws(":", F.lit(str(seed)), q(key).cast("string"), q("_copy").cast("string")))
     part = lambda start: F.conv(F.substring(pick, start, 8), 16, 10).cast("double") / float(16 ** 8)
     # A row without a neighbour is copied as it is.
@@ -144,15 +144,3 @@ def _spread(pool: DataFrame, left: dict, label_col: str, key: str, seed: int) ->
     take = F.coalesce(_lookup(left, q("_g0")), F.lit(0))
     taken = take_first(pool, label_col, take, key, seed, out="_more")
     return taken.withColumn("_copies", q("_each") + q("_more").cast("bigint")).drop("_each", "_more")
-
-
-def _copies(rows: DataFrame, label_col: str, key: str) -> DataFrame:
-    """Repeats each row ``_copies`` times with a copy number; many copies are written out in blocks by several tasks."""
-    zero = F.lit(0).cast("bigint")
-    few = rows.where(q("_copies") <= COPY_BLOCK).withColumn("_copy", F.explode(F.sequence(zero, q("_copies") - 1)))
-    blocks = (rows.where(q("_copies") > COPY_BLOCK)
-              .withColumn("_b", F.explode(F.sequence(zero, F.floor((q("_copies") - 1) / COPY_BLOCK))))
-              .repartition(q(key), q("_b")))
-    many = blocks.withColumn("_copy", F.explode(F.sequence(
-        q("_b") * COPY_BLOCK, F.least((q("_b") + 1) * COPY_BLOCK, q("_copies")) - 1))).drop("_b")
-    return few.unionByName(many)

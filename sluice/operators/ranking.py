@@ -32,6 +32,21 @@ class Ordered:
         return df.drop("_cell", *self.group, *self.order)
 
 
+def repeat_rows(df: DataFrame, times: str, out: str) -> DataFrame:
+    """Writes each row ``times`` times and numbers these copies 0, 1, .. in ``out``; the column ``times`` is dropped.
+
+    Rows with many copies are divided into blocks first and the blocks spread over the tasks.
+    """
+    zero = F.lit(0).cast("bigint")
+    few = df.where(q(times).between(1, COPY_BLOCK)).withColumn(out, F.explode(F.sequence(zero, q(times) - 1)))
+    blocks = (df.where(q(times) > COPY_BLOCK)
+              .withColumn("_b", F.explode(F.sequence(zero, F.floor((q(times) - 1) / COPY_BLOCK))))
+              .repartition(q("_b"), *[q(c) for c in df.columns]))
+    many = blocks.withColumn(out, F.explode(F.sequence(
+        q("_b") * COPY_BLOCK, F.least((q("_b") + 1) * COPY_BLOCK, q(times)) - 1))).drop("_b")
+    return few.unionByName(many).drop(times)
+
+
 def with_copy_number(df: DataFrame, out: str = "_copy") -> DataFrame:
     """Numbers the copies of equal rows 0, 1, ..; all columns together with ``out`` are then a key.
 
@@ -39,13 +54,7 @@ def with_copy_number(df: DataFrame, out: str = "_copy") -> DataFrame:
     table is never held by one task.
     """
     counted = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    single = counted.where(q("_n") <= COPY_BLOCK).withColumn(out, F.explode(F.sequence(F.lit(0).cast("bigint"), q("_n") - 1)))
-    blocks = (counted.where(q("_n") > COPY_BLOCK)
-              .withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((q("_n") - 1) / COPY_BLOCK))))
-              .repartition(q("_b"), *[q(c) for c in df.columns]))
-    many = blocks.withColumn(out, F.explode(F.sequence(
-        q("_b") * COPY_BLOCK, F.least((q("_b") + 1) * COPY_BLOCK, q("_n")) - 1))).drop("_b")
-    return single.unionByName(many).drop("_n")
+    return repeat_rows(counted, "_n", out)
 
 
 def _position(df: DataFrame, name: str) -> Column:

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import q
+from .ranking import repeat_rows
 
 
 def dedupe_rows(df: DataFrame, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
@@ -28,10 +29,23 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[q(c).cast("string").alias(c) for c in df.columns])
 
 
+def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Each distinct row with ``_a`` and ``_b``, how often it occurs in either table; copies are counted before the shuffle."""
+    left, right = as_text(a), as_text(b).toDF(*a.columns)
+    both = (left.withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
+            .union(right.withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))))
+    return both.groupBy(*[q(c) for c in left.columns]).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+
+
 def missing_rows(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
-    """Rows of ``a`` that are not in ``b``, compared as text and by column position; NULLs are equal."""
-    a, b = as_text(a), as_text(b)
-    return a.exceptAll(b) if multiset else a.subtract(b)
+    """Rows of ``a`` that are not in ``b``, compared as text and by column position; NULLs are equal.
+
+    Distinct rows, or with ``multiset`` as many copies as ``a`` has more than ``b``.
+    """
+    sides = _sides(a, b)
+    if not multiset:
+        return sides.where((q("_a") > 0) & (q("_b") == 0)).drop("_a", "_b")
+    return repeat_rows(sides.withColumn("_n", q("_a") - q("_b")).drop("_a", "_b"), "_n", "_copy").drop("_copy")
 
 
 def extra_rows(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
@@ -40,16 +54,10 @@ def extra_rows(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
 
 
 def compare_tables(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: distinct rows of both tables, rows missing in and extra in ``b``, and whether the two sets are equal.
-
-    Both directions come from one grouping: each distinct row carries the sides on which it occurs.
-    """
-    left, right = as_text(a), as_text(b).toDF(*a.columns)
-    sides = (left.withColumn("_a", F.lit(True)).withColumn("_b", F.lit(False))
-             .union(right.withColumn("_a", F.lit(False)).withColumn("_b", F.lit(True))))
-    rows = sides.groupBy(*[q(c) for c in left.columns]).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
-    return (rows.agg(F.count_if("_a").alias("n_a"), F.count_if("_b").alias("n_b"),
-                     F.count_if(q("_a") & ~q("_b")).alias("n_missing"), F.count_if(q("_b") & ~q("_a")).alias("n_extra"))
+    """One row: distinct rows of both tables, rows missing in and extra in ``b``, and whether the two sets are equal."""
+    in_a, in_b = q("_a") > 0, q("_b") > 0
+    return (_sides(a, b).agg(F.count_if(in_a).alias("n_a"), F.count_if(in_b).alias("n_b"),
+                             F.count_if(in_a & ~in_b).alias("n_missing"), F.count_if(in_b & ~in_a).alias("n_extra"))
             .withColumn("same", (q("n_missing") == 0) & (q("n_extra") == 0)))
 
 

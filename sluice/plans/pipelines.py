@@ -11,7 +11,7 @@ from ..operators.columns import align_to, drop_columns, normalize_names, normali
 from ..operators.models import TrainedModel, score_batch, train_forest
 from ..operators.profile import (constant_columns, dominance, inf_report, label_distribution, low_variance_columns,
                                  missing_report, mixed_type_report)
-from ..operators.repair import drop_inf_columns, fill_sentinel_with_median, impute_inf
+from ..operators.repair import repair_numbers
 from ..operators.rules import PORTS, apply_rules, drop_missing_for_labels, rule_non_negative, rule_range, rule_report
 from ..operators.sampling import bounded_parts, shuffle
 from ..sources import read_folder, write_parts_by_group, write_table
@@ -39,9 +39,7 @@ def clean_table(df: DataFrame, sentinel_columns: Iterable[str] = (), drop: Itera
     """Missing values to NULL, invalid rows out, infinite columns out, remaining infinities and sentinel texts to the median."""
     df = normalize_nulls(drop_columns(df, drop))
     df = apply_rules(df, [*rule_non_negative(df), *rule_range(df, ports)])
-    df = impute_inf(drop_inf_columns(df, inf_threshold))
-    columns = [c for c in sentinel_columns if c in df.columns]
-    return fill_sentinel_with_median(df, columns) if columns else df
+    return repair_numbers(df, sentinel_columns, inf_threshold)
 
 
 def missing_parts(df: DataFrame, path: str, label_col: str = "label", delete_for: Iterable[str] | str = "none", key=None,
