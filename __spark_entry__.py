@@ -10,7 +10,7 @@ from sluice.functions import class_of, classify_value, dtypes, numeric, q, safe_
 from sluice.operators import balance, columns, explain, models, profile, repair, rules, sampling, setops
 from sluice.operators.neighbors import knn_join as nearest
 from sluice.plans import clean_table
-from sluice.session import scratch_path
+from sluice.session import configure, scratch_path
 from sluice.sources import (header_inventory as headers, read_checked, read_folder, read_table, rejected_rows,
                             schema_conformance as conformance, with_source, write_parts_by_group, write_table)
 
@@ -45,7 +45,7 @@ FLAGS = ["A", "N", "R"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def flows(spark: SparkSession, sf: str) -> DataFrame:

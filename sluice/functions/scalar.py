@@ -14,7 +14,8 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 # Number syntax. Spark alone would also accept "1d" and "1f", other engines "1_0".
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INF_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+INF_WORDS = ("inf", "+inf", "infinity", "+infinity")
+MINUS_INF_WORDS = ("-inf", "-infinity")
 NAN_TEXT = r"(?i)^\s*[+-]?nan\s*$"
 
 # Half-open dominance ranges (low, high, name); the last one takes 1.0 in.
@@ -33,8 +34,10 @@ def numeric(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return c.cast("double")
     text = c.cast("string")
-    infinite = F.when(F.trim(text).startswith("-"), F.lit(-_INF)).otherwise(F.lit(_INF))
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double")).when(text.rlike(INF_TEXT), infinite)
+    # Casting the words would work, too, but by way of a costly exception per row.
+    word = F.lower(F.trim(text))
+    return (F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+            .when(word.isin(*INF_WORDS), F.lit(_INF)).when(word.isin(*MINUS_INF_WORDS), F.lit(-_INF)))
 
 
 def is_inf(value: Column) -> Column:

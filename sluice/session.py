@@ -11,13 +11,25 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cpus: int | str = 8, app: str = "sluice") -> SparkSession:
-    return (SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    spark = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
             .config("spark.sql.shuffle.partitions", "8")
             .config("spark.sql.session.timeZone", "UTC")
             .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "12g"))
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .getOrCreate())
+    return configure(spark)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings for wide tables, where they still have Spark's default.
+
+    Rules and profiles over many columns make large generated methods, and HotSpot leaves methods above 8000 bytes
+    uncompiled. With this limit Spark runs such stages operator by operator, in methods small enough to be compiled.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
