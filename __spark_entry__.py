@@ -404,6 +404,10 @@ def preview_affected(spark, sf):
     return profile.preview(flows(spark, sf).select("row_id", *HANDSHAKE), a | b, 5, "row_id")
 
 
+def top_k_orders(spark, sf):
+    return profile.top_k(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 20, "o_orderkey")
+
+
 # ---------------------------------------------------------------- repairs
 
 def impute_inf(spark, sf):
@@ -664,7 +668,7 @@ QUERIES = [
     sentinel_by_label, drop_sentinel_rows, drop_missing_for_labels, split_by_missing, route_files, exclude_keys, table_shape, shape_by_label,
     missing_report, inf_report, mixed_type_report, constant_columns, low_variance_columns, dominance, dominance_report,
     value_label_breakdown, dominant_columns, label_distribution, label_distribution_by, class_summary, missing_by_label, medians, quartiles,
-    iqr_outlier_rows, outlier_report, outlier_by_label, histogram, histogram_values, duplicate_count, duplicate_count_by, preview_affected,
+    iqr_outlier_rows, outlier_report, outlier_by_label, histogram, histogram_values, duplicate_count, duplicate_count_by, preview_affected, top_k_orders,
     impute_inf, drop_inf_columns, fill_sentinel_with_median, inf_remediation, inf_remaining, clean_and_profile, dedupe_rows, dedupe_by_key,
     distinct_rows, compare_missing, compare_extra, compare_summary, union_positional, union_by_name, shuffle_rows, interleave_by,
     shuffle_by_label, stratified_split, split_counts, random_split, downscale, downscale_counts, class_split_counts, map_labels, knn_join,

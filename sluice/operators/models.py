@@ -74,6 +74,9 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier,
     labels = [r["_label"] for r in table.orderBy("_target").collect()]
     training = (labelled.select(*_prepared(labelled, features, text), q(label_col).cast("string").alias("_label"))
                 .join(table, "_label").drop("_label").withColumn("_target", q("_target").cast("double")))
+    # Training passes over the rows many times: spread them evenly over all cores once.
+    context = df.sparkSession.sparkContext
+    training = training.repartition(max(context.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     stages, inputs = [], []
     if text:
         codes = [f"_code{i}" for i in range(len(text))]

@@ -157,14 +157,16 @@ def _nearest(centers: np.ndarray) -> Callable:
 
 def _own_cell(centers: np.ndarray, spans: dict) -> Callable:
     """Names for each query the nearest cell that has vectors of its group; queries without any are dropped."""
+    usable = {g: np.array([c for c, _, _ in v]) for g, v in spans.items()}
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[batch["_g"].isin(spans)].reset_index(drop=True)
-            cells = np.zeros(len(batch), dtype="int32")
+            batch = batch[batch["_g"].isin(usable)].reset_index(drop=True)
+            groups, cells = batch["_g"].to_numpy(), np.zeros(len(batch), dtype="int32")
             for start, d in _distances(_matrix(batch["_v"]), centers):
                 for i, row in enumerate(d, start):
-                    usable = [c for c, _, _ in spans[batch["_g"][i]]]
-                    cells[i] = usable[int(row[usable].argmin())]
+                    ids = usable[groups[i]]
+                    cells[i] = ids[row[ids].argmin()]
             yield batch.assign(_cell=cells)
     return assign
 
@@ -172,25 +174,31 @@ def _own_cell(centers: np.ndarray, spans: dict) -> Callable:
 def _other_cells(centers: np.ndarray, spans: dict) -> Callable:
     """Names for each query every further cell that could hold a vector within its bound."""
     table = {g: (np.array([s[0] for s in v]), np.array([s[1] for s in v]), np.array([s[2] for s in v])) for g, v in spans.items()}
+    gaps: dict[int, np.ndarray] = {}
+
+    def gap_from(home: int) -> np.ndarray:
+        if home not in gaps:
+            gaps[home] = np.sqrt(((centers - centers[home]) ** 2).sum(-1))
+        return gaps[home]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[batch["_g"].isin(table)].reset_index(drop=True)
+            groups, bounds = batch["_g"].to_numpy(), batch["_bound"].to_numpy()
             rows, cells = [], []
             for start, d in _distances(_matrix(batch["_v"]), centers):
                 for i, row in enumerate(d, start):
-                    ids, near, far = table[batch["_g"][i]]
+                    ids, near, far = table[groups[i]]
                     at = row[ids]
                     own = ids[at.argmin()]
                     least = np.maximum(np.maximum(at - far, near - at), 0)
                     # Vectors of another cell lie beyond the plane between its pivot and the query's nearest pivot.
                     home = row.argmin()
-                    gap = np.sqrt(((centers[ids] - centers[home]) ** 2).sum(-1))
+                    gap = gap_from(int(home))[ids]
                     with np.errstate(divide="ignore", invalid="ignore"):
                         plane = np.where(gap > 0, (at ** 2 - row[home] ** 2) / (2 * gap), 0)
-                    bound = batch["_bound"][i]
                     slack = 1e-9 * (1 + at)
-                    hit = ids[(np.maximum(least, plane) - slack <= bound) & (ids != own)]
+                    hit = ids[(np.maximum(least, plane) - slack <= bounds[i]) & (ids != own)]
                     rows.extend([i] * len(hit))
                     cells.extend(hit)
             yield batch.iloc[rows][["_id", "_g", "_v"]].assign(_cell=np.array(cells, dtype="int32"))
