@@ -5,8 +5,9 @@ from pyspark.sql import Column, functions as F
 
 from .names import q
 
-# 16^4 equally likely prefixes of the hash: the unit in which large groups are divided.
-CELLS = 16 ** 4
+# At most 16^4 equally likely prefixes of the hash: the unit in which large groups are divided.
+MAX_DIGITS = 4
+CELLS = 16 ** MAX_DIGITS
 
 
 def order_hash(seed: int | str, key: list[str]) -> Column:
@@ -14,6 +15,11 @@ def order_hash(seed: int | str, key: list[str]) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[q(k).cast("string") for k in key]))
 
 
-def hash_cell(digest: Column) -> Column:
-    """Number of the cell (0..CELLS-1) of an md5 text; it grows with the text."""
-    return F.coalesce(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), F.lit(0))
+def cell_digits(partitions: int) -> int:
+    """Hash digits for at least 16 cells per shuffle partition, so that one group fills all partitions evenly."""
+    return next((d for d in range(2, MAX_DIGITS) if 16 ** d >= 16 * partitions), MAX_DIGITS)
+
+
+def hash_cell(digest: Column, digits: int = MAX_DIGITS) -> Column:
+    """Number of the cell of an md5 text, which grows with the text."""
+    return F.coalesce(F.conv(F.substring(digest, 1, digits), 16, 10).cast("int"), F.lit(0))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import columns_of, dtypes, is_numeric, q
 from ..session import local_table, small_table
 from .columns import label_index
+from .profile import long_values
 from .ranking import number_rows
 from .sampling import stratified_split
 
@@ -39,17 +40,27 @@ def label_mapping(df: DataFrame, label_col: str = "label") -> DataFrame:
 def encode_features(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Replaces text columns by the position of each value among the sorted distinct values; NULL stays NULL.
 
-    Up to a checked number of values the positions are a broadcast table; beyond it they are ranked and joined.
+    The values of all columns are fetched in one job if a sketch says that they are few, and become broadcast tables;
+    the values of other columns are ranked and joined.
     """
-    columns = columns_of(df, "string") if columns is None else columns
-    order = df.columns
-    for c in columns:
-        values = df.where(q(c).isNotNull()).select(q(c).alias("_value")).distinct()
-        _, rows = small_table(values, MAX_CATEGORIES)
+    columns, order = columns_of(df, "string") if columns is None else columns, df.columns
+    if not columns:
+        return df
+    rough = df.agg(*[F.approx_count_distinct(q(c)) for c in columns]).first()
+    few = [c for c, n in zip(columns, rough) if n <= MAX_CATEGORIES // len(columns)]
+    texts: dict[str, list[str]] = {}
+    if few:
+        _, rows = small_table(long_values(df, few).where(q("value").isNotNull()).distinct(), 2 * MAX_CATEGORIES)
+        for r in rows or ():
+            texts.setdefault(r["column"], []).append(r["value"])
         if rows is not None:
-            texts = sorted((r[0] for r in rows), key=lambda v: v.encode())
-            codes = F.broadcast(local_table(df.sparkSession, list(zip(texts, range(len(texts)))), "_value string, _code bigint"))
+            texts.update({c: [] for c in few if c not in texts})
+    for c in columns:
+        if c in texts:
+            codes = [(v, i) for i, v in enumerate(sorted(texts[c], key=lambda v: v.encode()))]
+            codes = F.broadcast(local_table(df.sparkSession, codes, "_value string, _code bigint"))
         else:
+            values = df.where(q(c).isNotNull()).select(q(c).alias("_value")).distinct()
             codes = number_rows(values, (), "_value", out="_rn").select("_value", (q("_rn") - 1).alias("_code"))
         df = df.join(codes, q(c) == q("_value"), "left").drop("_value", c).withColumnRenamed("_code", c)
     return df.select(*[q(c) for c in order])
@@ -203,7 +214,7 @@ def confusion_matrix(scored: DataFrame, labels: list[str], label_col: str = "lab
     cells = _cells(scored, label_col, prediction_col)
     wide = cells.groupBy("actual").agg(*[F.sum(F.when(q("predicted") == c, q("n")).otherwise(0)).alias(f"pred_{c}") for c in labels])
     rows = local_table(scored.sparkSession, [(i, c) for i, c in enumerate(labels)], "_i int, actual string")
-    return F.broadcast(rows).join(wide, "actual", "left").orderBy("_i").select("actual", *[F.coalesce(q(f"pred_{c}"), F.lit(0)).alias(f"pred_{c}") for c in labels])
+    return rows.join(wide, "actual", "left").orderBy("_i").select("actual", *[F.coalesce(q(f"pred_{c}"), F.lit(0)).alias(f"pred_{c}") for c in labels])
 
 
 def classification_report(scored: DataFrame, labels: list[str], label_col: str = "label", prediction_col: str = "predicted_label") -> DataFrame:
@@ -212,7 +223,7 @@ def classification_report(scored: DataFrame, labels: list[str], label_col: str =
     hit = F.when(q("actual") == q("predicted"), q("n")).otherwise(0)
     sides = cells.select(F.inline(F.array(F.struct(q("actual").alias("label"), q("n").alias("actual_n"), F.lit(0).cast("bigint").alias("pred_n"), hit.alias("tp")),
                                           F.struct(q("predicted").alias("label"), F.lit(0).cast("bigint").alias("actual_n"), q("n").alias("pred_n"), F.lit(0).cast("bigint").alias("tp")))))
-    rows = F.broadcast(local_table(scored.sparkSession, [(c,) for c in labels], "label string"))
+    rows = local_table(scored.sparkSession, [(c,) for c in labels], "label string")
     zero = F.lit(0.0)
     per = rows.join(sides.groupBy("label").agg(F.sum("actual_n").alias("support"), F.sum("pred_n").alias("pred_n"), F.sum("tp").alias("tp")), "label", "left").fillna(0)
     per = (per.withColumn("precision", F.coalesce(F.try_divide("tp", "pred_n"), zero)).withColumn("recall", F.coalesce(F.try_divide("tp", "support"), zero))

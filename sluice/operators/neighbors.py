@@ -86,6 +86,8 @@ def _distinct_base(points: DataFrame, k: int) -> DataFrame:
 def _search(queries: DataFrame, points: DataFrame, key_type: T.DataType, k: int, block_rows: int, pivots: int | None) -> DataFrame:
     """``(_id, _found)``: the k + 1 nearest keys of each distinct query, itself included."""
     size = points.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_g").alias("groups"), F.max(F.size("_v")).alias("width")).first()
+    if size["groups"] > MAX_CELLS // 2:
+        raise ValueError("too many groups for a search within groups")
     wanted = pivots or -(-size["n"] // block_rows)
     wanted = max(1, min(wanted, MAX_PIVOTS, MAX_CELLS // (2 * max(size["groups"], 1)), _WORK // max(size["width"] or 1, 1)))
     picked = points.select("_v", F.xxhash64("_v").alias("_h")).orderBy("_h").limit(wanted).collect()
@@ -121,7 +123,8 @@ def _search(queries: DataFrame, points: DataFrame, key_type: T.DataType, k: int,
 def _visit(visits: DataFrame, placed: DataFrame, blocks: DataFrame, schema: T.StructType, k: int, block_rows: int) -> DataFrame:
     """Lets each (query, cell) pair see the cell's vectors, as an equi-join of bounded chunks and blocks."""
     chunks = visits.groupBy("_g", "_cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_chunks"))
-    sides = chunks.join(blocks, ["_g", "_cell"])
+    # One row per cell, hence at most MAX_CELLS.
+    sides = F.broadcast(chunks.join(blocks, ["_g", "_cell"]))
     chunk = F.pmod(F.xxhash64("_id"), q("_chunks")).cast("int")
     block = F.pmod(F.xxhash64("_id"), q("_blocks")).cast("int")
     span = lambda c: F.sequence(F.lit(0), q(c) - 1)

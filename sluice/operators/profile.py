@@ -14,7 +14,6 @@ from ..functions import any_null, bucket_ratio, class_of, classify_value, column
 from ..session import local_table
 from .quantiles import exact_quantiles
 
-SKETCH_ITEMS = 10_000
 
 
 def _names(df: DataFrame, columns: Iterable[str] | None, without: Iterable[str] = ()) -> list[str]:
@@ -123,10 +122,11 @@ def dominance(df: DataFrame, columns: Iterable[str] | None = None, min_ratio: fl
 
 
 def _frequent(df: DataFrame, columns: list[str], min_ratio: float) -> DataFrame:
-    # The sketch overrates a count by less than 0.1 % of the rows, so values at min_ratio rank within this many.
-    k = math.floor(1 / (min_ratio - 0.001)) + 1
+    # A sketch of so many items overrates a count by at most 2.7 / items of the rows: values at min_ratio rank within k.
+    items = max(100, math.ceil(50 / min_ratio))
+    k = math.floor(1 / (min_ratio - 2.7 / items)) + 1
     texts = df.select(*[q(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
-    row = texts.agg(*[F.expr(f"approx_top_k(c{i}, {k}, {SKETCH_ITEMS})").alias(f"t{i}") for i in range(len(columns))],
+    row = texts.agg(*[F.expr(f"approx_top_k(c{i}, {k}, {items})").alias(f"t{i}") for i in range(len(columns))],
                     *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))]).first()
     picks = [(i, x["item"]) for i in range(len(columns)) for x in (row[f"t{i}"] or [])
              if x["item"] is not None and x["count"] >= min_ratio * row[f"n{i}"]]

@@ -10,11 +10,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ACCURACY = 10_000
-GATHER = 100_000
+# The sketch of a column has some multiple of this many entries; wide tables get smaller ones.
+ACCURACY, WIDE_ACCURACY, WIDE = 10_000, 2_000, 100
+# Values gathered at once, over all columns.
+GATHER = 1_000_000
 
 
-def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float], accuracy: int = ACCURACY,
+def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float], accuracy: int | None = None,
                     gather: int = GATHER, delta: float | None = None) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation of double expressions, NULLs ignored.
 
@@ -24,6 +26,7 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
     if not names:
         return {}
     x = df.select(*[columns[n].alias(f"x{i}") for i, n in enumerate(names)])
+    accuracy = accuracy or (ACCURACY if len(names) <= WIDE else WIDE_ACCURACY)
     delta = delta or 2 / accuracy
     first = x.agg(*[e for i in range(len(names)) for e in (
         F.count(f"x{i}").alias(f"n{i}"), F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}"),
@@ -41,7 +44,7 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
                 else:
                     enclosure[i, rank] = tuple(first[f"p{i}"][2 * j:2 * j + 2])
     # The sketch errs by at most n / accuracy ranks per bound, so small columns finish in this pass.
-    few = max(counts) * (2 * delta + 2 / accuracy) <= gather
+    few = max(counts) * (2 * delta + 2 / accuracy) * len(enclosure) <= gather
     while enclosure:
         spans = sorted({(i, lo, hi) for (i, _), (lo, hi) in enclosure.items()})
         slot = {s: k for k, s in enumerate(spans)}
@@ -93,7 +96,7 @@ def _narrow(x: DataFrame, spans: dict, accuracy: int, gather: int) -> tuple[dict
                             [max(at - delta, 0.0), min(at + delta, 1.0)], accuracy).alias(f"p{k}")
         for k, ((i, _), (lo, hi, at, _)) in enumerate(spans.items())]).first()
     tight = {key: tuple(row[f"p{k}"]) for k, key in enumerate(spans)}
-    return tight, max(s[3] for s in spans.values()) * 6 / accuracy <= gather
+    return tight, sum(s[3] for s in spans.values()) * 6 / accuracy <= gather
 
 
 def _between(value: dict, i: int, position: float) -> float:

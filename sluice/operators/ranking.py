@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..functions import CELLS, dtypes, hash_cell, order_hash, q
+from ..functions import CELLS, cell_digits, dtypes, hash_cell, order_hash, q
 from ..session import small_table
 
 COPY_BLOCK = 100_000
@@ -97,6 +97,7 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
             rows_per_cell: int = ROWS_PER_CELL) -> Ordered:
     """Prepares ``df`` for ranking: in seeded order, or by ``key`` itself when ``seed`` is None."""
     by = [by] if isinstance(by, str) else list(by)
+    digits = cell_digits(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if key is None:
         if seed is None:
             raise ValueError("an order needs a key or a seed")
@@ -105,7 +106,7 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
         df = df.withColumn("_o0", F.md5(F.concat_ws(":", F.lit(str(seed)), F.to_json(F.struct(*[q(c) for c in plain])), q("_copy"))))
         df = df.withColumnRenamed("_copy", "_o1").withColumn("_o2", F.xxhash64(*[q(c) for c in plain]))
         order = ["_o0", "_o1", "_o2"]
-        df = df.withColumn("_cell", hash_cell(q("_o0")))
+        df = df.withColumn("_cell", hash_cell(q("_o0"), digits))
     else:
         key = [key] if isinstance(key, str) else list(key)
         columns = [q(k).alias(f"_o{i + (seed is not None)}") for i, k in enumerate(key)]
@@ -116,7 +117,7 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
         order = [f"_o{i}" for i in range(len(columns))]
         df = df.select("*", *columns)
         if seed is not None:
-            df = df.withColumn("_cell", hash_cell(q("_o0")))
+            df = df.withColumn("_cell", hash_cell(q("_o0"), digits))
     group = []
     for i, b in enumerate(by):
         group += [f"_g{2 * i}", f"_g{2 * i + 1}"]
