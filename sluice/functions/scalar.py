@@ -16,7 +16,7 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INF_WORDS = ("inf", "+inf", "infinity", "+infinity")
 MINUS_INF_WORDS = ("-inf", "-infinity")
-NAN_TEXT = r"(?i)^\s*[+-]?nan\s*$"
+NAN_WORDS = ("nan", "+nan", "-nan")
 
 # Half-open dominance ranges (low, high, name); the last one takes 1.0 in.
 DOMINANCE_RANGES = ((0.50, 0.60, "50-60%"), (0.60, 0.70, "60-70%"), (0.70, 0.80, "70-80%"),
@@ -45,15 +45,18 @@ def is_inf(value: Column) -> Column:
     return F.coalesce(F.abs(value) == F.lit(_INF), F.lit(False))
 
 
-def classify_value(name: str, dtype: T.DataType) -> Column:
-    """``NaN``, ``inf``, ``integer`` (any whole number), ``float`` or ``string``."""
-    value = numeric(name, dtype)
+def classify_value(name: str, dtype: T.DataType, value: Column | None = None) -> Column:
+    """``NaN``, ``inf``, ``integer`` (any whole number), ``float`` or ``string``.
+
+    ``value`` is the column as a number, if an earlier step has read it; the test needs it more than once.
+    """
+    value = numeric(name, dtype) if value is None else value
     c = q(name)
     kind = F.when(c.isNull(), "NaN")
     if is_numeric(dtype):
         kind = kind.when(value.isNull(), "NaN")
     else:
-        kind = kind.when(c.cast("string").rlike(NAN_TEXT), "float").when(value.isNull(), "string")
+        kind = kind.when(value.isNull(), F.when(F.lower(F.trim(c.cast("string"))).isin(*NAN_WORDS), "float").otherwise("string"))
     return kind.when(is_inf(value), "inf").when(value % 1 == 0, "integer").otherwise("float")
 
 

@@ -68,7 +68,8 @@ def mixed_type_report(df: DataFrame, columns: Iterable[str] | None = None) -> Da
     """
     columns, types = _names(df, columns), dtypes(df)
     classes = ("NaN", "inf", "integer", "float", "string")
-    kinds = df.select(*[classify_value(c, types[c]).alias(f"k{i}") for i, c in enumerate(columns)])
+    read = df.select(*[q(c) for c in columns], *[numeric(c, types[c]).alias(f"_x{i}") for i, c in enumerate(columns)])
+    kinds = read.select(*[classify_value(c, types[c], q(f"_x{i}")).alias(f"k{i}") for i, c in enumerate(columns)])
     row = kinds.agg(*[F.count_if(q(f"k{i}") == k).alias(f"{k}{i}") for i in range(len(columns)) for k in classes])
     wide = per_column(row, columns, {k: k for k in classes}).where((q("string") > 0) | (q("inf") > 0))
     return (wide.select("column", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), q(k).alias("n")) for k in classes])))
