@@ -606,6 +606,11 @@ def label_mapping(spark, sf):
     return models.label_mapping(flows(spark, sf))
 
 
+def mapping_file(spark, sf):
+    labels = [r["label"] for r in models.label_mapping(flows(spark, sf)).orderBy("label_index").collect()]
+    return models.read_mapping(spark, models.write_mapping(labels, scratch_path(spark, "mapping")))
+
+
 def encode_features(spark, sf):
     return models.encode_features(flows(spark, sf).select("row_id", *TEXT))
 
@@ -677,7 +682,7 @@ QUERIES = [
     distinct_rows, compare_missing, compare_extra, compare_summary, union_positional, union_by_name, shuffle_rows, interleave_by,
     shuffle_by_label, stratified_split, split_counts, random_split, downscale, downscale_counts, class_split_counts, map_labels, knn_join,
     balance_targets, undersample, smote_counts, smote_rows, borderline_counts, adasyn_counts, borderline_candidates, adasyn_weights,
-    label_mapping, encode_features, forest_predictions, boosted_predictions, feature_importance, top_k_features, prune_features, score_batch,
+    label_mapping, mapping_file, encode_features, forest_predictions, boosted_predictions, feature_importance, top_k_features, prune_features, score_batch,
     prediction_counts, explain_predictions, confusion_matrix, classification_report, rule_prediction_counts, evaluate_guard,
 ]
 

@@ -131,12 +131,13 @@ def train_and_hold_out(df: DataFrame, train, label_col: str = "label", key=None,
 
 
 def save_model(model: TrainedModel, path: str) -> str:
-    """Writes the pipeline and, beside it, its features and labels."""
+    """Writes the pipeline and, beside it, its features and labels, the labels also as a mapping text."""
     spark = SparkSession.active()
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     about = [(model.label_col, model.features, model.text_features, model.labels)]
     (local_table(spark, about, "label_col string, features array<string>, text_features array<string>, labels array<string>")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/about"))
+    write_mapping(model.labels, f"{path}/mapping")
     return path
 
 
@@ -146,9 +147,22 @@ def load_model(path: str) -> TrainedModel:
                         list(about["labels"]), about["label_col"])
 
 
-def mapping_text(model: TrainedModel) -> str:
-    """The label mapping as text: two header lines, then ``label : index``."""
-    return "\n".join(["Label Encoding Mapping", "-" * 30, *[f"{c} : {i}" for i, c in enumerate(model.labels)]]) + "\n"
+def mapping_lines(labels: list[str]) -> list[str]:
+    """The label mapping as text. Fixed format: a title, a rule of 40 signs, then the label padded to 30 and its index."""
+    return ["Label Encoding Mapping:", "=" * 40, *[f"{c:<30}: {i}" for i, c in enumerate(labels)]]
+
+
+def write_mapping(labels: list[str], path: str) -> str:
+    lines = local_table(SparkSession.active(), [(line,) for line in mapping_lines(labels)], "value string")
+    lines.coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def read_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """``(label, label_index)`` from a mapping text; lines without an index are skipped."""
+    parts = F.regexp_extract("value", r"^(.*?)\s*:\s*(\d+)\s*$", 1), F.regexp_extract("value", r"^(.*?)\s*:\s*(\d+)\s*$", 2)
+    return (spark.read.text(path).where(q("value").rlike(r":\s*\d+\s*$"))
+            .select(F.trim(parts[0]).alias("label"), parts[1].cast("int").alias("label_index")))
 
 
 def feature_importance(model: TrainedModel) -> DataFrame:

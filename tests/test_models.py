@@ -38,7 +38,8 @@ def test_saved_model_predicts_the_same(spark, data, forest):
     path = models.save_model(forest, scratch_path(spark, "model"))
     loaded = models.load_model(path)
     assert models.score_batch(loaded, data).exceptAll(models.score_batch(forest, data)).count() == 0
-    assert loaded.labels == ["BENIGN", "Bot", "DoS"] and models.mapping_text(loaded).splitlines()[2:] == ["BENIGN : 0", "Bot : 1", "DoS : 2"]
+    assert loaded.labels == ["BENIGN", "Bot", "DoS"] and [line.split() for line in models.mapping_lines(loaded.labels)[2:]] == [["BENIGN", ":", "0"], ["Bot", ":", "1"], ["DoS", ":", "2"]]
+    assert models.read_mapping(spark, f"{path}/mapping").collect() == [("BENIGN", 0), ("Bot", 1), ("DoS", 2)]
 
 
 def test_scoring_takes_missing_columns_and_new_texts(data, forest):
