@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from datetime import timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -68,10 +69,23 @@ def small_table(df: DataFrame, max_rows: int = 100_000) -> tuple[DataFrame, list
     return F.broadcast(local_table(df.sparkSession, rows, df.schema)), rows
 
 
+def _arrow_value(value, dtype: T.DataType):
+    """The value as Arrow takes it; collected timestamps are local times without a zone."""
+    if value is None:
+        return None
+    if isinstance(dtype, T.StructType):
+        return {f.name: _arrow_value(value[f.name], f.dataType) for f in dtype.fields}
+    if isinstance(dtype, T.ArrayType):
+        return [_arrow_value(v, dtype.elementType) for v in value]
+    if isinstance(dtype, T.TimestampType):
+        return value.astimezone(timezone.utc)
+    return value
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A table of a few rows that are at hand; Spark knows its size and needs no tasks to read it."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(schema)
     columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
-    arrays = [pa.array([v.asDict(True) if hasattr(v, "asDict") else v for v in c], type=f.type) for c, f in zip(columns, arrow)]
+    arrays = [pa.array([_arrow_value(v, f.dataType) for v in c], type=a.type) for c, f, a in zip(columns, schema.fields, arrow)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)

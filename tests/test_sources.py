@@ -1,10 +1,12 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from sluice import sources
 from sluice.functions import q
 from sluice.operators import sampling
-from sluice.session import local_table, scratch_path
+from sluice.session import local_table, scratch_path, small_table
 
 
 @pytest.fixture()
@@ -71,6 +73,19 @@ def test_part_files_hold_one_part_each(spark):
     assert max(r["n"] for r in sizes if r["class"] == "benign") == 30 and max(r["n"] for r in sizes) == 250
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_local_table_keeps_times(spark, monkeypatch, zone):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        df = spark.sql("SELECT timestamp'2024-03-01 00:30:00' AS t, timestamp_ntz'2024-03-01 00:30:00' AS n, named_struct('t', timestamp'2024-07-01 00:30:00') AS s")
+        local, rows = small_table(df)
+        assert len(rows) == 1 and local.exceptAll(df).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_local_table_keeps_nested_values(spark):
     df = local_table(spark, [([1.0, None], {"x": "p", "y": 1}), (None, None)], "a array<double>, s struct<x:string,y:int>")
     assert df.collect() == [([1.0, None], ("p", 1)), (None, None)]
