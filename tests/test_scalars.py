@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sluice.functions import NA_TOKENS, bucket_ratio, class_of, classify_value, dtypes, numeric, q, safe_name
 from sluice.operators import columns
