@@ -692,12 +692,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return clean_and_profile(spark, "/root/testdata/sf0.001")
 
 
+# The training-data operators and their pipeline are optional: everything else works without their folders.
+try:
+    from sluice.llm.queries import QUERIES as LLM_QUERIES
+    from sluice.llm.oracle import ORACLE as LLM_ORACLE
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith("sluice.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("sluice.llm"):
+        raise
+    corpus_pipeline = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in QUERIES}
+    named = {f.__name__: f for f in QUERIES} | LLM_QUERIES
     named["classify_value"] = named.pop("classify")
+    if corpus_pipeline:
+        named["pipeline"] = corpus_pipeline.run
     return named
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle import ORACLE
-    return dict(ORACLE)
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}
+    return ORACLE | LLM_ORACLE | whole
