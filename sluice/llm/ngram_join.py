@@ -141,7 +141,10 @@ def _pair_counts(tokens: np.ndarray, group: np.ndarray, doc: np.ndarray) -> tupl
     """Common tokens of documents of one group: for pairs (i < j) with any, the number. One row per pair of equal tokens."""
     order = np.lexsort((doc, tokens, group))
     t, g, d = tokens[order], group[order], doc[order]
-    new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])]) if len(t) else np.zeros(0, bool)
+    if not len(t):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])])
     begins = np.flatnonzero(new)
     ends = np.append(begins[1:], len(t))
     last = np.repeat(ends, ends - begins)
