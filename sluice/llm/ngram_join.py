@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import written
 from .components import components
-from .words import (SPACED, bucket_count, bucket_slices, lower_ascii, mix, pack, pack_small, pieces, unpack, unpack_small,
+from .words import (SPACED, bucket_count, bucket_slices, lower_ascii, mix, order_pairs, pack, pack_small, pieces, unpack, unpack_small,
                     whole, windows, word_hashes, words_of)
 
 CELL = 256
@@ -53,13 +53,8 @@ def _sets(column: pa.Array, width: int, lower: bool) -> Iterator[tuple]:
             value.append(mix(windows(hashes, m)[firsts] + np.uint64(m)))
         at, value = np.concatenate(at), np.concatenate(value)
         rows = words.rows()[at]
-        order = np.argsort(value)
+        order = order_pairs(value, rows)
         h, r = value[order], rows[order]
-        same = np.zeros(len(h) + 1, bool)
-        same[1:-1] = h[1:] == h[:-1]
-        mixed = np.flatnonzero(same[1:] | same[:-1])
-        fixed = mixed[np.lexsort((r[mixed], h[mixed]))]
-        r[mixed] = r[fixed]
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
         h, r = h[keep], r[keep]

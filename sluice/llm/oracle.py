@@ -15,4 +15,15 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach.b) AS compon
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLE = {"op9_ngram_join": OP9}
+OP7 = rf"""
+WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, {SPACED}), []) AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM words, unnest(range(1, greatest(len(w) - 11, 1))) AS t(i)),
+least AS (SELECT k, min(doc_id) AS first FROM wins GROUP BY k),
+hits AS (SELECT DISTINCT doc_id, i + o AS p FROM wins JOIN least USING (k), unnest(range(0, 13)) AS t(o) WHERE first < doc_id),
+gone AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM hits GROUP BY doc_id)
+SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE = {"op7_block_anchors": OP7, "op9_ngram_join": OP9}

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
+from .block_anchors import repeats_removed
 from .ngram_join import similar_components
 
 
@@ -11,8 +12,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op7_block_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats_removed(table(spark, sf, "documents"), width=13, digest=True)
+
+
 def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op9_ngram_join,)}
+QUERIES = {f.__name__: f for f in (op7_block_anchors, op9_ngram_join)}

@@ -150,6 +150,42 @@ def whole(words: Words, width: int) -> np.ndarray:
     return np.flatnonzero(rows[:n] == rows[width - 1:width - 1 + n]) if n else np.zeros(0, np.int64)
 
 
+def order_pairs(values: np.ndarray, seconds: np.ndarray) -> np.ndarray:
+    """The order by value, then by second; only runs of equal values pay for the second key."""
+    order = np.argsort(values)
+    v = values[order]
+    same = np.zeros(len(v) + 1, bool)
+    same[1:-1] = v[1:] == v[:-1]
+    mixed = np.flatnonzero(same[1:] | same[:-1])
+    order[mixed] = order[mixed][np.lexsort((seconds[order[mixed]], v[mixed]))]
+    return order
+
+
+def run_starts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin in sorted columns."""
+    if not len(sorted_columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.ones(len(sorted_columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_columns])
+    return np.flatnonzero(new)
+
+
+def lists_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """Distinct keys, and for each the list of its values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    cuts = run_starts(keys)
+    return keys[cuts], pa.ListArray.from_arrays(pa.array(np.append(cuts, len(keys)).astype(np.int32)), pa.array(values.view(np.int64)))
+
+
+def list_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a list<long> column; a NULL list is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = np.array(column.value_lengths().fill_null(0)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)]), column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def member(values: np.ndarray, of_sorted: np.ndarray) -> np.ndarray:
     """Which values occur in a sorted array."""
     if not len(of_sorted):
