@@ -15,6 +15,22 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach.b) AS compon
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """
 
+ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+OP3 = rf"""
+WITH words AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, {ALNUM}), []) AS w FROM documents),
+items AS (SELECT item_id, coalesce(regexp_extract_all({LOWER}, {ALNUM}), []) AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS k FROM items, unnest(range(1, greatest(len(w) - 8, 2))) AS t(i) WHERE len(w) > 0),
+runs AS (SELECT DISTINCT n FROM wins),
+hits AS (SELECT doc_id, i, runs.n, item_id FROM words, runs, unnest(range(1, len(w) - runs.n + 2)) AS t(i)
+  JOIN wins ON wins.n = runs.n AND wins.k = array_to_string(w[i:i + runs.n - 1], ' ')),
+counts AS (SELECT doc_id, count(DISTINCT i + o) AS n_hit FROM hits, unnest(range(0, n)) AS t(o) GROUP BY doc_id),
+names AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
 OP7 = rf"""
 WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, {SPACED}), []) AS w FROM documents),
 wins AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM words, unnest(range(1, greatest(len(w) - 11, 1))) AS t(i)),
@@ -26,4 +42,4 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op7_block_anchors": OP7, "op9_ngram_join": OP9}
+ORACLE = {"op3_decontaminate": OP3, "op7_block_anchors": OP7, "op9_ngram_join": OP9}

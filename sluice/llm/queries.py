@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
 from .block_anchors import repeats_removed
+from .decontaminate import contamination
 from .ngram_join import similar_components
 
 
@@ -12,6 +13,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
+
+
 def op7_block_anchors(spark: SparkSession, sf: str) -> DataFrame:
     return repeats_removed(table(spark, sf, "documents"), width=13, digest=True)
 
@@ -20,4 +25,4 @@ def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op7_block_anchors, op9_ngram_join)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op7_block_anchors, op9_ngram_join)}
