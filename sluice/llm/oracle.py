@@ -31,6 +31,21 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+OP6 = rf"""
+WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {SPACED})), 0) AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source),
+ratio AS (SELECT *, 3.0::DOUBLE * source_size / w AS r, sum(source_size) OVER () AS budget FROM sources),
+levels AS (SELECT *, ((budget - coalesce(sum(3 * source_size) OVER (ORDER BY r, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+  / (sum(w) OVER (ORDER BY r, w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE) AS v FROM ratio),
+level AS (SELECT max(v) AS v FROM levels WHERE v <= r),
+targets AS (SELECT source, source_size, w, least(w * v, 3.0::DOUBLE * source_size) AS target FROM sources, level),
+queues AS (SELECT doc_id, s.source, size, source_size, w, target,
+  sum(size) OVER (PARTITION BY s.source ORDER BY md5('6:' || doc_id::VARCHAR), doc_id) AS upto FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+turns AS (SELECT *, (upto + e * source_size)::DOUBLE / w AS finish FROM queues, range(3) AS x(e)),
+spent AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, e, doc_id::VARCHAR ROWS UNBOUNDED PRECEDING) AS spent, (SELECT sum(size) FROM sized) AS budget FROM turns)
+SELECT doc_id, size, source_size, target, sum(CASE WHEN spent <= budget THEN size ELSE 0 END)::BIGINT AS taken FROM spent GROUP BY ALL
+"""
+
 OP7 = rf"""
 WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, {SPACED}), []) AS w FROM documents),
 wins AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM words, unnest(range(1, greatest(len(w) - 11, 1))) AS t(i)),
@@ -42,4 +57,4 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op3_decontaminate": OP3, "op7_block_anchors": OP7, "op9_ngram_join": OP9}
+ORACLE = {"op3_decontaminate": OP3, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}

@@ -1,12 +1,14 @@
 """One query per operator with its production parameters, over whole tables, and SQL where SQL can say it."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
 from .block_anchors import repeats_removed
 from .decontaminate import contamination
+from .mixing import mixing_plan
 from .ngram_join import similar_components
+from .sharding import balanced_shards
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,12 +19,20 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
 
 
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing_plan(table(spark, sf, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op7_block_anchors(spark: SparkSession, sf: str) -> DataFrame:
     return repeats_removed(table(spark, sf, "documents"), width=13, digest=True)
 
 
+def op8_label_propagation(spark: SparkSession, sf: str) -> DataFrame:
+    return balanced_shards(table(spark, sf, "documents"), shards=16)
+
+
 def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op7_block_anchors, op9_ngram_join)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join)}
