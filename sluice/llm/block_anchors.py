@@ -7,7 +7,7 @@ with a smaller id; windows are judged on the input.
    every rolling block of that length. A window of ``width`` words always holds one whole indexed block, wherever it
    starts. Block hashes travel to range buckets, packed and sorted; a block is an *anchor* for the documents that have
    it if one of them indexed it and another has it anywhere.
-2. Extension: around its anchors a document lists the windows that hold one. For each such window (96 bits of hash)
+2. Extension: around its anchors a document lists the windows that hold one. For each such window (80 bits of hash)
    the least document id is found; runs of windows with a smaller one elsewhere are the maximal exact repeats.
 3. The words under those windows are dropped.
 
@@ -30,15 +30,17 @@ from .words import (SPACED, bucket_count, bucket_slices, list_values, lists_by,
 SENT = "bucket int, ids binary, hashes binary, checks binary, rows binary"
 SENT_ARROW = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("hashes", pa.binary()), ("checks", pa.binary()), ("rows", pa.binary())])
 FOUND = "id long, hashes array<long>"
-_CLEAR = np.uint64(0xFFFFFFFFFFFFFFFE)
+#: Block hashes keep 48 bits, which travel in fewer bytes; a false anchor only means windows that are looked at in vain.
+_CLEAR = np.uint64(0xFFFFFFFFFFFF0000)
+_FLAG, _SHIFT = np.uint64(0x8000), np.uint64(15)
 
 
-def _send(h: np.ndarray, check: np.ndarray, row: np.ndarray, ids: np.ndarray, buckets: int) -> dict:
+def _send(h: np.ndarray, check: np.ndarray, row: np.ndarray, ids: np.ndarray, buckets: int, shift: np.uint64 = np.uint64(0)) -> dict:
     """Entries sorted by hash as one packed record per bucket; ``ids`` ascend, ``row`` points into them."""
     out = {name: [] for name in SENT_ARROW.names}
     for bucket, a, b in bucket_slices(h, buckets):
         used, local = np.unique(row[a:b], return_inverse=True)
-        for name, value in zip(SENT_ARROW.names, (bucket, pack(ids[used]), pack(h[a:b]), pack_small(check[a:b]), pack_small(local))):
+        for name, value in zip(SENT_ARROW.names, (bucket, pack(ids[used]), pack(h[a:b] >> shift), pack_small(check[a:b]), pack_small(local))):
             out[name].append(value)
     return out
 
@@ -91,8 +93,8 @@ def _anchor_lists(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                 first[runs] = True
                 settled = np.repeat(settled, sizes)
                 sent = first | ~settled
-                flag = (indexed | settled)[sent].astype(np.uint64)
-                out = _send(h[sent] | flag, np.zeros(int(sent.sum())), doc[sent], ids, buckets)
+                flag = np.where((indexed | settled)[sent], _FLAG, np.uint64(0))
+                out = _send(h[sent] | flag, np.zeros(int(sent.sum())), doc[sent], ids, buckets, _SHIFT)
                 yield _keep(out, h[settled], doc[settled], ids, buckets)
     return docs.mapInArrow(lists, SENT)
 
@@ -101,7 +103,8 @@ def _anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     h, _, ids = _received(table)
     if key[0].as_py() < 0:
         return _lists(ids, h)
-    flag, h = (h & np.uint64(1)).astype(bool), h & _CLEAR
+    h = h << _SHIFT
+    flag, h = (h & _FLAG).astype(bool), h & _CLEAR
     order = np.argsort(h)
     h, flag, ids = h[order], flag[order], ids[order]
     runs = run_starts(h)
@@ -136,7 +139,7 @@ def _window_lists(anchored: DataFrame, width: int, block: int, buckets: int) ->
                 starts = np.flatnonzero(np.cumsum(change)[:len(hashes)] > 0)
                 starts = starts[starts <= len(hashes) - width]
                 h = windows(hashes, width)[starts]
-                check = (windows(word_hashes(piece.data, words, 1), width, 1)[starts] >> np.uint64(32)).astype(np.uint32)
+                check = (windows(word_hashes(piece.data, words, 1), width, 1)[starts] >> np.uint64(48)).astype(np.uint32)
                 doc = rank[words.rows()[starts]]
                 order = np.lexsort((_signed_order(ids)[doc], check, h))
                 h, check, doc = h[order], check[order], doc[order]
