@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
 from .block_anchors import repeats_removed
+from .byte_cnn import quality
 from .decontaminate import contamination
 from .mixing import mixing_plan
 from .ngram_join import similar_components
@@ -19,6 +20,10 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
 
 
+def op4_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing_plan(table(spark, sf, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
@@ -35,4 +40,4 @@ def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join)}
