@@ -10,6 +10,7 @@ from .decontaminate import contamination
 from .mixing import mixing_plan
 from .ngram_join import similar_components
 from .sharding import balanced_shards
+from .toxic_segments import toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -40,4 +41,8 @@ def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join)}
+def op10_toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("passages")
+
+
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
