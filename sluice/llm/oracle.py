@@ -15,6 +15,14 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach.b) AS compon
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """
 
+OP2 = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 OP3 = rf"""
@@ -57,4 +65,4 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op3_decontaminate": OP3, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}
+ORACLE = {"op2_norm_buckets": OP2, "op3_decontaminate": OP3, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}

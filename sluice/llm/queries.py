@@ -9,6 +9,7 @@ from .byte_cnn import quality
 from .decontaminate import contamination
 from .mixing import mixing_plan
 from .ngram_join import similar_components
+from .norm_buckets import top_k
 from .sharding import balanced_shards
 from .toxic_segments import toxicity
 
@@ -17,6 +18,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_norm_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(table(spark, sf, "embeddings"), k=20, every=20, scale=64)
+
+
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
 
@@ -45,4 +50,4 @@ def op10_toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("passages")
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
+QUERIES = {f.__name__: f for f in (op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
