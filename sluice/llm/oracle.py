@@ -39,6 +39,20 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+OP5 = """
+WITH lines AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i) WHERE text IS NOT NULL),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+rolled AS (SELECT *, h + 31 * coalesce(lag(h, 1) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0) AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+placed AS (SELECT *, coalesce(sum(CASE WHEN r % 4 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM rolled),
+chunks AS (SELECT doc_id, c, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY doc_id, c),
+judged AS (SELECT *, lines >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks),
+left_over AS (SELECT doc_id, sum(CASE WHEN gone THEN lines ELSE 0 END)::BIGINT AS n_removed, coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (NOT gone), '') AS kept
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(kept) AS kept_sha256
+FROM documents LEFT JOIN left_over USING (doc_id)
+"""
+
 OP6 = rf"""
 WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {SPACED})), 0) AS size FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source),
@@ -65,4 +79,4 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op2_norm_buckets": OP2, "op3_decontaminate": OP3, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}
+ORACLE = {"op2_norm_buckets": OP2, "op3_decontaminate": OP3, "op5_line_chunks": OP5, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}

@@ -7,6 +7,7 @@ from ..session import configure
 from .block_anchors import repeats_removed
 from .byte_cnn import quality
 from .decontaminate import contamination
+from .line_chunks import lines_deduplicated
 from .mixing import mixing_plan
 from .ngram_join import similar_components
 from .norm_buckets import top_k
@@ -30,6 +31,11 @@ def op4_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
     return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op5_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines_deduplicated(table(spark, sf, "documents"), divisor=4, min_lines=2)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing_plan(table(spark, sf, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
@@ -50,4 +56,4 @@ def op10_toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("passages")
 
 
-QUERIES = {f.__name__: f for f in (op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
+QUERIES = {f.__name__: f for f in (op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
