@@ -13,12 +13,17 @@ from .ngram_join import similar_components
 from .norm_buckets import top_k
 from .sharding import balanced_shards
 from .toxic_segments import toxicity
+from .training_order import training_order
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_training_order(spark: SparkSession, sf: str) -> DataFrame:
+    return training_order(table(spark, sf, "documents"), length=2048, key=1)
+
+
 def op2_norm_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(table(spark, sf, "embeddings"), k=20, every=20, scale=64)
 
@@ -56,4 +61,4 @@ def op10_toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("passages")
 
 
-QUERIES = {f.__name__: f for f in (op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
+QUERIES = {f.__name__: f for f in (op1_training_order, op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
