@@ -155,9 +155,15 @@ class Network:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Network:
+    """The network; with fewer than two classes in the sample it says 1 or 0 for everything, and 1 without any label."""
     rows = labelled_sample(docs, labels, label, id_col, text_col, fit_rows).collect()
     rows = sorted(((r["text"] or "").encode(), int(r["label"])) for r in rows)
-    return Network().fit([t for t, _ in rows], [y for _, y in rows])
+    network, classes = Network(), {y for _, y in rows}
+    if len(classes) < 2:
+        network.p["u"][:] = 0
+        network.p["b"][:] = -9.0 if classes == {0} else 9.0
+        return network
+    return network.fit([t for t, _ in rows], [y for _, y in rows])
 
 
 def with_scores(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
@@ -177,7 +183,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """(id, held_out, score, predicted) for every row of ``docs``.
 
     NULL and empty texts are all padding and get the score that the network gives to that. Repeated rows score alike.
-    Without any labelled row the network is as drawn. Only the text is looked at.
+    Without labelled rows of both classes all rows score alike. Only the text is looked at.
     """
     network = fitted(docs, labels, "quality", id_col, text_col, fit_rows)
     scored = with_scores(docs.select(id_col, text_col), network, text_col).select(F.col("row").getField(id_col).alias(id_col), "score")
