@@ -28,11 +28,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 or more on runs of five words, the one with the smallest id.
 
-    Texts without words are similar to nothing and stay. Rows equal in id and text stay once. A row with a NULL id goes
-    if a row with an id is similar, otherwise rows with a NULL id stay.
+    Texts without words are similar to nothing and stay. Rows equal in id and text stay once. Rows with a NULL id are
+    nobody's first and cannot be told apart: they stay, once per text.
     """
     found = similar_components(docs, width=5, percent=80)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    first = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
     kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").withColumn("_md5", F.md5("text"))
     return kept.dropDuplicates(["doc_id", "_md5"]).drop("_md5")
 
