@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,7 +15,7 @@ from sluice.operators.neighbors import knn_join as nearest
 from sluice.plans import clean_table
 from sluice.session import configure, scratch_path
 from sluice.sources import (header_inventory as headers, read_checked, read_folder, read_table, rejected_rows,
-                            schema_conformance as conformance, with_source, write_parts_by_group, write_table)
+                            schema_conformance as conformance, unreadable_files as unreadable, with_source, write_parts_by_group, write_table)
 
 # A table with the usual dirt, made from the orders by one text that both engines understand: missing labels and
 # values, ports out of range, negative durations, infinities, sentinel texts, a constant and a dominated column, and a
@@ -41,6 +40,8 @@ SELECT o_orderkey AS row_id,
        WHEN o_orderkey % 5 = 3 THEN '7' ELSE NULL END AS mixed_val
 FROM {orders}
 """
+NOTE = """CASE row_id % 6 WHEN 0 THEN '  outer spaces ' WHEN 1 THEN 'a "quoted" word, and a comma' WHEN 2 THEN concat('two', chr(10), 'lines')
+  WHEN 3 THEN '' WHEN 4 THEN NULL ELSE ' ' END"""
 TEXT = ["label", "delta_start", "handshake_duration", "proto", "flag_count", "mixed_val"]
 DOUBLES = ["src_port", "flow_duration", "bytes_rate", "idle_max", "fwd_skew"]
 HANDSHAKE = ["delta_start", "handshake_duration"]
@@ -88,13 +89,13 @@ def staged(spark: SparkSession, sf: str, names: list[str]) -> str:
 # ---------------------------------------------------------------- sources and sinks
 
 def scan_all_string(spark, sf):
-    path = write_table(table(spark, sf, "customer").drop("c_acctbal"), scratch_path(spark, "customer.csv"))
-    return read_table(spark, path)
+    path = write_table(table(spark, sf, "customer"), scratch_path(spark, "customer.csv"))
+    return read_table(spark, path).withColumn("c_acctbal", q("c_acctbal").cast("double"))
 
 
 def scan_typed(spark, sf):
-    path = write_table(table(spark, sf, "lineitem").drop("l_shipdate"), scratch_path(spark, "lineitem.csv"))
-    return read_table(spark, path, table(spark, sf, "lineitem").drop("l_shipdate").schema)
+    path = write_table(table(spark, sf, "lineitem"), scratch_path(spark, "lineitem.csv"))
+    return read_table(spark, path, table(spark, sf, "lineitem").schema)
 
 
 def scan_folder_counts(spark, sf):
@@ -106,7 +107,20 @@ def scan_folder_counts(spark, sf):
 def scan_folder_by_name(spark, sf):
     root = staged(spark, sf, ["customer", "supplier"])
     df = read_folder(spark, root, source_col=None)
-    return df.select("c_custkey", "c_name", "c_mktsegment", "s_suppkey", "s_name")
+    return df.withColumns({c: q(c).cast("double") for c in ("c_acctbal", "s_acctbal")})
+
+
+def unreadable_files(spark, sf):
+    """Two whole tables and, beside them, a file whose name says that it is compressed, though it is not."""
+    root = staged(spark, sf, ["region", "nation"])
+    table(spark, sf, "nation").select("n_name").coalesce(1).write.text(f"{root}/cut", lineSep="\n")
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{root}/cut").select("path").collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for k, row in enumerate(parts):
+        old, new = hadoop.Path(row["path"]), hadoop.Path(f"{root}/cut/broken-{k}.csv.gz")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new)
+    bad = unreadable(spark, root, include_glob="*.csv*").select("filename")
+    return bad.withColumn("n_rows_left", F.lit(read_folder(spark, root, include_glob="*.csv*").count()))
 
 
 def header_inventory(spark, sf):
@@ -133,20 +147,22 @@ def normalize_nulls(spark, sf):
 
 
 def sink_roundtrip(spark, sf):
-    path = write_table(flows(spark, sf), scratch_path(spark, "flows"), "parquet")
-    return read_table(spark, path, "infer", fmt="parquet")
+    """As CSV, with a column of texts that CSV tends to spoil."""
+    df = flows(spark, sf).withColumn("note", F.expr(NOTE))
+    path = write_table(df, scratch_path(spark, "flows"))
+    return read_table(spark, path, df.schema, multiLine=True, nullValue="\0")
 
 
 def sink_n_parts(spark, sf):
-    path = write_table(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), scratch_path(spark, "orders"), partitions=20)
-    return read_table(spark, path)
+    orders = table(spark, sf, "orders")
+    return read_table(spark, write_table(orders, scratch_path(spark, "orders"), partitions=20), orders.schema)
 
 
 def bad_record_counts(spark, sf):
     events = table(spark, sf, "events")
-    broken = events.select("event_id", "user_id", F.when(q("event_type") == "purchase", q("event_type")).otherwise(q("value").cast("string")).alias("value"))
+    broken = events.withColumn("value", F.when(q("event_type") == "purchase", q("event_type")).otherwise(q("value").cast("string")))
     path = write_table(broken, scratch_path(spark, "events.csv"))
-    good, bad = rejected_rows(read_checked(spark, path, T.StructType.fromDDL("event_id bigint, user_id bigint, value double")))
+    good, bad = rejected_rows(read_checked(spark, path, events.schema))
     return good.agg(F.count("event_id").alias("n")).withColumn("kind", F.lit("good")).unionByName(
         bad.agg(F.count("event_id").alias("n")).withColumn("kind", F.lit("bad")))
 
@@ -448,8 +464,7 @@ def dedupe_rows(spark, sf):
 
 
 def dedupe_by_key(spark, sf):
-    kept = setops.dedupe_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"), ["l_partkey"], ["l_orderkey", "l_suppkey"])
-    return kept
+    return setops.dedupe_rows(table(spark, sf, "lineitem"), ["l_partkey"], ["l_orderkey", "l_linenumber"])
 
 
 def distinct_rows(spark, sf):
@@ -590,16 +605,22 @@ def adasyn_weights(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-TREES, DEPTH, ROUNDS = 20, 6, 10
+# Labels that are steps of one feature, beside a feature that says nothing and has missing values: a tree model of the
+# usual size must predict them exactly, whatever it draws.
+STEPPED = """
+SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS step, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(1 AS DOUBLE) END AS gap,
+  CASE WHEN c_nationkey < 9 THEN 'A' WHEN c_nationkey < 17 OR {two} THEN 'N' ELSE 'R' END AS label
+FROM {customer}
+"""
+STEP_FEATURES = ["step", "gap"]
 
 
-@lru_cache(maxsize=4)
-def _forest(spark: SparkSession, sf: str):
-    return models.train_and_hold_out(_wide(spark, sf), models.train_forest, key="vec_id", features=[f"f{i}" for i in range(64)], trees=TREES, depth=DEPTH)
+def stepped(spark: SparkSession, sf: str, labels: int = 3) -> DataFrame:
+    return spark.sql(STEPPED.replace("{two}", str(labels == 2).lower()), customer=table(spark, sf, "customer"))
 
 
-def _wide(spark, sf):
-    return vectors(spark, sf).select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(64)])
+def _forest(spark: SparkSession, sf: str):
+    return models.train_forest(stepped(spark, sf), features=STEP_FEATURES)
 
 
 def label_mapping(spark, sf):
@@ -616,32 +637,32 @@ def encode_features(spark, sf):
 
 
 def forest_predictions(spark, sf):
-    _, scored = _forest(spark, sf)
-    return scored.select("vec_id", "label", "predicted_label")
+    df = stepped(spark, sf)
+    return models.score_batch(_forest(spark, sf), df)
 
 
 def boosted_predictions(spark, sf):
-    df = measured(spark, sf)
-    model = models.train_boosted(df, features=[*MEASURES, "l_linestatus"], rounds=ROUNDS, depth=4)
-    return models.score_batch(model, df).select("l_orderkey", "l_linenumber", "label", "predicted_label")
+    df = stepped(spark, sf, labels=2)
+    return models.score_batch(models.train_boosted(df, features=STEP_FEATURES), df)
 
 
 def feature_importance(spark, sf):
-    return models.feature_importance(_forest(spark, sf)[0])
+    return models.feature_importance(_forest(spark, sf)).withColumn("importance_pct", F.round("importance_pct", 6))
 
 
 def top_k_features(spark, sf):
-    return profile.top_k(feature_importance(spark, sf), "importance_pct", 20, "feature")
+    return profile.top_k(feature_importance(spark, sf), "importance_pct", 1, "feature")
 
 
 def prune_features(spark, sf):
-    return models.prune_features(_wide(spark, sf), feature_importance(spark, sf), 1.0)
+    return models.prune_features(stepped(spark, sf), feature_importance(spark, sf), 0.1)
 
 
 def score_batch(spark, sf):
-    model, _ = _forest(spark, sf)
-    saved = models.load_model(models.save_model(model, scratch_path(spark, "model")))
-    return models.score_batch(saved, columns.normalize_names(_wide(spark, sf)).drop("f0")).select("vec_id", "predicted_label")
+    """By a model that was saved and loaded, on a table with other spelling, without one feature, and without labels."""
+    saved = models.load_model(models.save_model(_forest(spark, sf), scratch_path(spark, "model")))
+    batch = stepped(spark, sf).drop("gap", "label").withColumnRenamed("step", " Step ")
+    return models.score_batch(saved, columns.normalize_names(batch))
 
 
 def prediction_counts(spark, sf):
@@ -649,7 +670,37 @@ def prediction_counts(spark, sf):
 
 
 def explain_predictions(spark, sf):
-    return explain.explain_predictions(_forest(spark, sf)[0], _wide(spark, sf), "vec_id")
+    return explain.explain_predictions(_forest(spark, sf), stepped(spark, sf), "c_custkey")
+
+
+def decode_label(spark, sf):
+    """Labels to indices and back."""
+    df = flows(spark, sf).select("row_id", "label")
+    coded = columns.encode_label(df).drop("label")
+    return columns.decode_label(coded, columns.label_index(df)).select("row_id", "decoded")
+
+
+def split_xy(spark, sf):
+    """The features of the line items by the split of features and label, and the label apart."""
+    features, label = columns.split_xy(measured(spark, sf), "label")
+    return measured(spark, sf).select(*features, q(label).alias("target"))
+
+
+def keep_labels(spark, sf):
+    return rules.keep_labels(flows(spark, sf), ["Bot", "BENIGN"])
+
+
+def evaluate_report(spark, sf):
+    """The metrics behind the guard: here all labels are known."""
+    _, report = models.evaluate(ruled(spark, sf), FLAGS)
+    return report.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def merge_folder(spark, sf):
+    """Rows per table of a folder of files that differ in their columns."""
+    merged = read_folder(spark, staged(spark, sf, ["customer", "supplier", "part", "nation"]))
+    known = [c for c in merged.columns if c.endswith("key") and c[0] in "cspn" and c not in ("c_nationkey", "s_nationkey", "n_regionkey")]
+    return merged.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(q(c)).alias(f"n_{c}") for c in known])
 
 
 def confusion_matrix(spark, sf):
@@ -670,7 +721,7 @@ def evaluate_guard(spark, sf):
 
 
 QUERIES = [
-    scan_all_string, scan_typed, scan_folder_counts, scan_folder_by_name, header_inventory, schema_conformance, scan_pruned, normalize_nulls,
+    scan_all_string, scan_typed, scan_folder_counts, scan_folder_by_name, unreadable_files, decode_label, split_xy, keep_labels, evaluate_report, merge_folder, header_inventory, schema_conformance, scan_pruned, normalize_nulls,
     sink_roundtrip, sink_n_parts, bad_record_counts, bounded_parts, bounded_part_files, drop_columns, dedupe_columns, resolve_label,
     normalize_names, align_schema, align_report, incomplete_flag, safe_label, to_numeric, classify, encode_label, drop_constant_lowvar,
     drop_dominant, rule_non_negative, rule_port_range, rule_report, count_invalid, drop_invalid_rows, quarantine_rows, sentinel_status,

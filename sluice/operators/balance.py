@@ -31,9 +31,7 @@ def undersample(df: DataFrame, targets: DataFrame, label_col: str = "label", key
 
 def _needs(df: DataFrame, targets: DataFrame, label_col: str) -> dict[str, tuple[int, int]]:
     """label -> (rows, rows to add), for the labels below their target."""
-    _, rows = small_table(targets.where(q("target") > q("n")).select(q("label").cast("string"), "n", "target"))
-    if rows is None:
-        raise ValueError(f"{label_col!r} has too many distinct values for a label")
+    rows = targets.where(q("target") > q("n")).select(q("label").cast("string"), "n", "target").collect()
     return {r["label"]: (r["n"], r["target"] - r["n"]) for r in rows}
 
 

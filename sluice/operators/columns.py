@@ -140,13 +140,11 @@ def decode_label(df: DataFrame, index: DataFrame, index_col: str = "label_index"
 
 
 def label_index(df: DataFrame, label_col: str = "label", out: str = "label_index") -> DataFrame:
-    """``(_label, index)``: the sorted distinct labels, fetched once because the numbering needs all of them.
-
-    Labels number at most a few thousand; a column with more than 100,000 values is not a label and is refused.
-    """
+    """``(_label, index)``: the sorted distinct labels. A few are fetched, numbered and broadcast; many stay a table."""
     labels = df.where(q(label_col).isNotNull()).select(q(label_col).cast("string").alias("_label")).distinct()
     _, rows = small_table(labels)
     if rows is None:
-        raise ValueError(f"{label_col!r} has too many distinct values for a label")
+        from .ranking import number_rows
+        return number_rows(labels, (), "_label", out="_rn").select("_label", (q("_rn") - 1).cast("int").alias(out))
     numbered = [(v, i) for i, v in enumerate(sorted((r[0] for r in rows), key=lambda v: v.encode()))]
     return F.broadcast(local_table(df.sparkSession, numbered, f"_label string, {quoted(out)} int"))

@@ -8,14 +8,15 @@ from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClas
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import columns_of, dtypes, is_numeric, q
-from ..session import local_table, small_table
+from ..functions import columns_of, dtypes, is_numeric, q, quoted
+from ..session import local_table, shared_dir, small_table
 from .columns import label_index
 from .profile import long_values
 from .ranking import number_rows
 from .sampling import stratified_split
 
 MAX_CATEGORIES = 100_000
+TRAINING_PARTITIONS = 32
 
 
 @dataclass
@@ -71,13 +72,22 @@ def _prepared(df: DataFrame, features: list[str], text: list[str]) -> list[Colum
     return [q(c).cast("string").alias(c) if c in text else q(c).cast("double").alias(c) for c in features]
 
 
-def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier, trees_for_labels) -> TrainedModel:
+def _fills(training: DataFrame, numeric: list[str]) -> list[float]:
+    """For each number a value below all of its values: where missing values go, so that trees can tell them apart."""
+    if not numeric:
+        return []
+    lows = training.agg(*[F.min(F.when(F.abs(q(c)) < float("inf"), q(c))).alias(f"l{i}") for i, c in enumerate(numeric)]).first()
+    return [-1.0 if low is None else low - max(1.0, abs(low)) for low in lows]
+
+
+def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier, trees_for_labels, partitions: int = TRAINING_PARTITIONS,
+         max_categories: int | None = None) -> TrainedModel:
     types = dtypes(df)
     features = [c for c in (features or df.columns) if c != label_col]
     text = [c for c in features if not is_numeric(types[c])]
     if text:
-        sizes = df.agg(*[F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(text)]).first()
-        wide = [c for i, c in enumerate(text) if sizes[i] > MAX_CATEGORIES]
+        sizes = df.agg(*[F.count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(text)]).first()
+        wide = [c for i, c in enumerate(text) if sizes[i] > (max_categories or MAX_CATEGORIES)]
         if wide:
             raise ValueError(f"text features with too many values to index: {wide}; drop them or encode them first")
     labelled = df.where(q(label_col).isNotNull())
@@ -85,20 +95,28 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier,
     labels = [r["_label"] for r in table.orderBy("_target").collect()]
     training = (labelled.select(*_prepared(labelled, features, text), q(label_col).cast("string").alias("_label"))
                 .join(table, "_label").drop("_label").withColumn("_target", q("_target").cast("double")))
-    # Training passes over the rows many times: spread them evenly over all cores once.
+    # Spark ML draws its samples per partition and in row order. Rows placed by their hash into a fixed number of
+    # partitions and sorted there give the same model on any cluster; training caches them itself.
+    spread = [q(c) for c in training.columns]
+    training = training.repartition(partitions, F.xxhash64(*spread)).sortWithinPartitions(*spread)
     context = df.sparkSession.sparkContext
-    training = training.repartition(max(context.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    numeric = [c for c in features if c not in text]
+    filled = {c: f"_filled{i}" for i, c in enumerate(numeric)}
+    fills = _fills(training, numeric)
     stages, inputs = [], []
+    if numeric:
+        values = [f"coalesce(nanvl({quoted(c)}, CAST(NULL AS DOUBLE)), CAST({low!r} AS DOUBLE)) AS {filled[c]}" for c, low in zip(numeric, fills)]
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(values) + " FROM __THIS__"))
     if text:
         codes = [f"_code{i}" for i in range(len(text))]
         stages.append(StringIndexer(inputCols=text, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"))
         # Adding zero turns the codes into plain numbers; as categories they would be limited by maxBins.
         numbers = [f"_number{i}" for i in range(len(text))]
         stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(f"{c} + 0D AS {n}" for c, n in zip(codes, numbers)) + " FROM __THIS__"))
-        names = dict(zip(text, numbers))
-        inputs = [names.get(c, c) for c in features]
-    else:
-        inputs = features
+        filled |= dict(zip(text, numbers))
+    inputs = [filled[c] for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
     stages.append(trees_for_labels(classifier, len(labels)))
     stages.append(IndexToString(inputCol="_prediction", outputCol="predicted_label", labels=labels))
@@ -107,7 +125,8 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier,
 
 def train_forest(df: DataFrame, label_col: str = "label", features: list[str] | None = None, trees: int = 100, depth: int = 10,
                  seed: int = 42) -> TrainedModel:
-    """Random forest. Features must be without NULL and infinity; text features are indexed inside the pipeline."""
+    """Random forest. Missing numbers become a value below all others; infinities must be repaired before. Text features
+    are indexed inside the pipeline."""
     forest = RandomForestClassifier(featuresCol="_features", labelCol="_target", predictionCol="_prediction", probabilityCol="_probability",
                                     rawPredictionCol="_raw", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
     return _fit(df, label_col, features, forest, lambda c, n: c)
@@ -115,7 +134,8 @@ def train_forest(df: DataFrame, label_col: str = "label", features: list[str] |
 
 def train_boosted(df: DataFrame, label_col: str = "label", features: list[str] | None = None, rounds: int = 100, depth: int = 6,
                   step: float = 0.3, seed: int = 42, parallelism: int = 4) -> TrainedModel:
-    """Gradient-boosted trees; with more than two labels one model per label against the rest."""
+    """Gradient-boosted trees; with more than two labels one model per label against the rest. Missing values as in
+    :func:`train_forest`."""
     boosted = GBTClassifier(featuresCol="_features", labelCol="_target", predictionCol="_prediction", maxIter=rounds, maxDepth=depth,
                             stepSize=step, seed=seed, cacheNodeIds=True)
     many = OneVsRest(classifier=boosted, featuresCol="_features", labelCol="_target", predictionCol="_prediction", parallelism=parallelism)

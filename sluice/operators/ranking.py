@@ -9,6 +9,7 @@ Keys must tell rows apart. For tables without such a key, :func:`with_copy_numbe
 """
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -88,7 +89,8 @@ def _by_column(df: DataFrame, name: str, rows_per_cell: int) -> DataFrame:
     if cells < 2:
         return df.withColumn("_cell", F.lit(0)).drop("_pos")
     cuts = df.agg(F.percentile_approx("_pos", [i / cells for i in range(1, cells)], max(10_000, 10 * cells))).first()[0]
-    splits = [float("-inf"), *sorted({c for c in cuts if c != float("-inf")}), float("inf")]
+    # Infinite and NaN keys sort before and behind all cuts: they need none of their own.
+    splits = [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)}), float("inf")]
     cell = Bucketizer(splits=splits, inputCol="_pos", outputCol="_cell", handleInvalid="keep")
     return cell.transform(df).withColumn("_cell", q("_cell").cast("int")).drop("_pos")
 
@@ -187,7 +189,8 @@ def take_first(df: DataFrame, by, take: Column, key=None, seed=None, out: str =
             .groupBy(*o.group).agg(F.max(F.when(q("_r") <= q("_need"), order_row)).alias("_edge"),
                                    F.max(F.when(q("_r") == q("_need") + 1, order_row)).alias("_next")))
     edge, rows = small_table(edge)
-    if rows is not None and any(r["_edge"] == r["_next"] for r in rows):
+    torn = any(r["_edge"] == r["_next"] for r in rows) if rows is not None else bool(edge.where(q("_edge") == q("_next")).take(1))
+    if torn:
         raise ValueError("the key does not tell rows apart; pass key=None to number equal rows")
     if o.group:
         joined = o.df.join(edge, o.group, "left")

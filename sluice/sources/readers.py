@@ -14,7 +14,7 @@ from ..functions import q
 from ..operators.columns import numbered_repeats
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
-HEADER_BYTES = 1 << 20
+FIELD_LIMIT = 1 << 30
 CORRUPT = "_corrupt_record"
 
 
@@ -49,34 +49,43 @@ def with_source(df: DataFrame, out: str = "source_file", folder: bool = False) -
 
 def read_folder(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", align: str = "name",
                 types: str | T.StructType = "string", source_col: str | None = "source_file", exclude: str | None = None,
-                on_error: str = "skip") -> DataFrame:
+                on_error: str = "skip", **options) -> DataFrame:
     """Reads the files of a folder as one table.
 
     ``align="name"`` reads files of equal header together and appends these groups by name, so that files may differ
     in columns and their order; ``position`` takes the first header for all. ``exclude`` is a pattern of file names
-    to leave out, such as earlier outputs. ``on_error="skip"`` passes over files that cannot be read.
+    to leave out, such as earlier outputs. ``on_error="skip"`` leaves out files that cannot be read, each as a whole
+    (:func:`unreadable_files` names them); ``"fail"`` raises. Further CSV options hold for rows and headers alike.
     """
-    options = {"recursiveFileLookup": recursive, "pathGlobFilter": include_glob, "ignoreCorruptFiles": on_error == "skip"}
-    if align == "position":
-        df = read_table(spark, path, types, fmt="csv", **options)
-        if source_col or exclude:
-            df = with_source(df, source_col or "_source")
-            df = df.where(~q(source_col or "_source").rlike(exclude)) if exclude else df
-        return df if source_col else df.drop("_source")
-    headers = header_list(spark, path, recursive, include_glob)
+    headers = header_list(spark, path, recursive, include_glob, **options)
     if exclude:
         headers = headers.where(~q("filename").rlike(exclude))
-    groups: dict[tuple, list[str]] = {}
-    for row in headers.where(F.size("names") > 0).toLocalIterator():
-        groups.setdefault(tuple(row["names"]), []).append(row["path"])
+    bad = headers.where(q("reason").isNotNull())
+    if on_error == "fail" and (some := bad.take(5)):
+        raise OSError("cannot read " + "; ".join(f"{r['path']}: {r['reason']}" for r in some))
+    usable = headers.where(F.size("names") > 0)
+    if align == "position":
+        first = usable.orderBy("path").select("names").first()
+        groups = {tuple(first["names"]): [r["path"] for r in usable.select("path").toLocalIterator()]} if first else {}
+    else:
+        groups = {}
+        for row in usable.toLocalIterator():
+            groups.setdefault(tuple(row["names"]), []).append(row["path"])
+    if not groups:
+        raise FileNotFoundError(f"no readable file with a header matches {include_glob!r} below {path}")
     parts = []
     for names, paths in groups.items():
         schema = types if not isinstance(types, str) else T.StructType([T.StructField(n, T.StringType()) for n in numbered_repeats(names)])
-        df = read_table(spark, paths, schema, fmt="csv", enforceSchema=True, ignoreCorruptFiles=on_error == "skip")
+        df = read_table(spark, paths, schema, fmt="csv", **{"enforceSchema": True, "ignoreCorruptFiles": False, **options})
         parts.append(with_source(df, source_col) if source_col else df)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def unreadable_files(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", **options) -> DataFrame:
+    """``(path, filename, reason)``: the files that :func:`read_folder` leaves out because they cannot be read to their end."""
+    return header_list(spark, path, recursive, include_glob, **options).where(q("reason").isNotNull()).select("path", "filename", "reason")
+
+
 def read_checked(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """Reads CSV by schema and keeps the text of lines that do not fit it in ``_corrupt_record``.
 
@@ -95,35 +104,59 @@ def rejected_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.where(q(CORRUPT).isNull()).drop(CORRUPT), checked.where(q(CORRUPT).isNotNull())
 
 
-def header_list(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv") -> DataFrame:
-    """``(path, filename, names)``: the header of each file, from its first block only.
+def header_list(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", **options) -> DataFrame:
+    """``(path, filename, names, reason)``: the header of each file, up to the end of its first record.
 
-    The listing comes from Spark; each task opens its files and reads up to the end of the first record. A file that
-    cannot be opened has an empty header.
+    The listing comes from Spark; each task opens its files. Compressed files are read to their end, because a cut one
+    shows only there. A file that cannot be read has a ``reason`` and no names. ``sep``, ``quote`` and ``encoding`` are
+    taken from the CSV options.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", include_glob)
              .load(path).select("path"))
-    return files.mapInPandas(_read_headers, "path string, filename string, names array<string>")
+    known = {k.lower(): v for k, v in options.items()}
+    style = (known.get("sep") or known.get("delimiter") or ",", known.get("quote") or '"', known.get("encoding") or known.get("charset") or "utf-8-sig")
+    return files.mapInPandas(_header_reader(*style), "path string, filename string, names array<string>, reason string")
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open(path: str):
+    """The file's bytes, decompressed by its suffix, and whether they are compressed."""
     from urllib.parse import unquote
 
+    import pyarrow as pa
     from pyarrow import fs
 
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            try:
-                uri = "file://" + unquote(path[5:]) if path.startswith("file:/") and not path.startswith("file://") else unquote(path)
-                system, inner = fs.FileSystem.from_uri(uri) if not uri.startswith("file://") else (fs.LocalFileSystem(), uri[7:])
-                with system.open_input_stream(inner) as stream:
-                    text = stream.read(HEADER_BYTES).decode("utf-8-sig", errors="replace")
-                names = next(csv.reader(io.StringIO(text)), [])
-            except OSError:
-                names = []
-            rows.append((path, unquote(path.rsplit("/", 1)[-1]), names))
-        yield pd.DataFrame(rows, columns=["path", "filename", "names"])
+    if path.startswith("file:"):
+        system, inner = fs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
+    else:
+        # The same store, by the name that Arrow knows it under.
+        system, inner = fs.FileSystem.from_uri(unquote(path).replace("s3a://", "s3://", 1))
+    suffix = inner.rsplit(".", 1)[-1].lower()
+    codec = {"gz": "gzip", "bz2": "bz2", "zst": "zstd", "zstd": "zstd", "lz4": "lz4"}.get(suffix)
+    stream = system.open_input_stream(inner, compression=None)
+    return (pa.CompressedInputStream(stream, codec) if codec else stream), bool(codec)
+
+
+def _header_reader(sep: str, quote: str, encoding: str):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import unquote
+
+        csv.field_size_limit(FIELD_LIMIT)
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                names, reason = [], None
+                try:
+                    stream, compressed = _open(path)
+                    with stream:
+                        text = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
+                        names = next(csv.reader(text, delimiter=sep, quotechar=quote), [])
+                        while compressed and text.read(1 << 20):
+                            pass
+                except (OSError, ValueError, EOFError, NotImplementedError, csv.Error) as error:
+                    names, reason = [], str(error) or type(error).__name__
+                rows.append((path, unquote(path.rsplit("/", 1)[-1]), names, reason))
+            yield pd.DataFrame(rows, columns=["path", "filename", "names", "reason"])
+    return read
 
 
 def header_inventory(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", name_from: str = "file") -> DataFrame:

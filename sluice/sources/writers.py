@@ -23,7 +23,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", partitions: int | No
         df = df.repartition(partitions)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # Outer spaces belong to the values. Texts with line breaks are quoted; read them with ``multiLine=True``. An empty
+        # text is written as quotes; reading takes it for NULL, too, unless told ``nullValue="\0"``.
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

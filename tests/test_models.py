@@ -115,3 +115,18 @@ def test_encoded_features(spark, monkeypatch):
     assert sorted(r["t"] for r in models.encode_features(df).where("t is not null").collect()) == [0, 1, 1]
     with pytest.raises(ValueError):
         models.train_forest(df.withColumn("label", F.lit("x")), trees=1)
+
+
+@pytest.mark.parametrize("train", [models.train_forest, models.train_boosted])
+def test_models_do_not_depend_on_the_cluster_and_take_missing_values(spark, data, train):
+    holes = data.withColumn("a", F.when(q("id") % 7 == 0, None).when(q("id") % 11 == 0, float("nan")).otherwise(q("a"))).where("label <> 'Bot'")
+    options = {"trees": 10, "depth": 5} if train is models.train_forest else {"rounds": 5, "depth": 3}
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = train(holes.repartition(int(n)), features=["a", "b"], **options)
+            found.append(sorted(map(tuple, models.score_batch(model, holes).select("id", "predicted_label").collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len({p for _, p in found[0]}) == 2

@@ -5,7 +5,7 @@ from pyspark.sql import Window as W, functions as F
 
 from sluice.functions import half_even, q
 from sluice.operators import ranking, sampling
-from sluice.session import local_table
+from sluice.session import local_table, small_table
 
 
 def skewed(spark, n=3000):
@@ -91,3 +91,29 @@ def test_parts_are_bounded(spark):
     assert max(r["count"] for r in sizes) == 150
     assert len([r for r in sizes if r["label"] == "big"]) == 14
     assert sampling.bounded_parts(df, attack_rows=0, key="id").count() == 0
+
+
+def test_repeated_keys_are_refused_at_any_number_of_groups(spark, monkeypatch):
+    from sluice.operators import ranking
+    df = spark.range(3000).select((F.col("id") / 3).cast("bigint").alias("g"), F.lit(1).alias("k"))
+    for most in (100_000, 10):
+        monkeypatch.setattr(ranking, "small_table", lambda t, n=most: small_table(t, n))
+        with pytest.raises(ValueError):
+            ranking.take_first(df, "g", F.lit(1), key="k", seed=1).count()
+
+
+def test_infinite_and_nan_keys(spark):
+    from sluice.operators.ranking import number_rows
+    values = [float("-inf")] * 300 + [float("inf")] * 300 + [float("nan")] * 300 + [float(i) for i in range(100)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, v double")
+    got = {r["id"]: r["rn"] for r in number_rows(df, (), ["v", "id"], rows_per_cell=50).collect()}
+    want = [r["id"] for r in df.orderBy("v", "id").collect()]
+    assert [got[i] for i in want] == list(range(1, 1001))
+
+
+def test_many_labels_are_numbered_like_few(spark, monkeypatch):
+    from sluice.operators import columns
+    df = spark.range(500).select(F.concat(F.lit("l"), F.col("id") % 97).alias("label"))
+    few = sorted(map(tuple, columns.label_index(df).collect()))
+    monkeypatch.setattr(columns, "small_table", lambda t, n=10: small_table(t, n))
+    assert sorted(map(tuple, columns.label_index(df).collect())) == few

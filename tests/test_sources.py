@@ -7,6 +7,7 @@ from sluice import sources
 from sluice.functions import q
 from sluice.operators import sampling
 from sluice.session import local_table, scratch_path, small_table
+from sluice.sources import readers
 
 
 @pytest.fixture()
@@ -89,3 +90,41 @@ def test_local_table_keeps_times(spark, monkeypatch, zone):
 def test_local_table_keeps_nested_values(spark):
     df = local_table(spark, [([1.0, None], {"x": "p", "y": 1}), (None, None)], "a array<double>, s struct<x:string,y:int>")
     assert df.collect() == [([1.0, None], ("p", 1)), (None, None)]
+
+
+def test_long_headers_are_whole(spark, tmp_path):
+    names = [f"column_{i:06d}_{'x' * 300}" for i in range(5000)]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    row = readers.header_list(spark, str(tmp_path)).first()
+    assert row["names"] == names and row["reason"] is None
+
+
+def test_cut_files_are_left_out_whole_or_fail(spark, tmp_path):
+    import gzip
+    text = "a,b\n" + "".join(f"{i},{i * 7919 % 10007}\n" for i in range(50_000))
+    packed = gzip.compress(text.encode())
+    (tmp_path / "good.csv.gz").write_bytes(packed)
+    (tmp_path / "cut.csv.gz").write_bytes(packed[:len(packed) // 2])
+    (tmp_path / "plain.csv").write_text("b,a\n1,2\n")
+    found = sources.read_folder(spark, str(tmp_path), include_glob="*.csv*")
+    assert found.count() == 50_001 and found.where("source_file = 'cut.csv.gz'").count() == 0
+    bad = sources.unreadable_files(spark, str(tmp_path), include_glob="*.csv*").collect()
+    assert [r["filename"] for r in bad] == ["cut.csv.gz"] and bad[0]["reason"]
+    with pytest.raises(OSError):
+        sources.read_folder(spark, str(tmp_path), include_glob="*.csv*", on_error="fail")
+    with pytest.raises(FileNotFoundError):
+        sources.read_folder(spark, str(tmp_path), include_glob="*.none")
+
+
+def test_csv_options_hold_for_headers_and_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('x;"y z"\n"one\ntwo";é\n'.encode("latin-1"))
+    df = sources.read_folder(spark, str(tmp_path), source_col=None, sep=";", multiLine=True, encoding="iso-8859-1")
+    assert df.columns == ["x", "y z"] and [tuple(r) for r in df.collect()] == [("one\ntwo", "é")]
+
+
+def test_csv_keeps_spaces_breaks_and_empty_texts(spark, tmp_path):
+    values = [" a ", 'say "x", y', "two\nlines", "", None, " "]
+    df = local_table(spark, [(i, v) for i, v in enumerate(values)], "id int, ` Label` string")
+    path = sources.write_table(df, str(tmp_path / "t"))
+    back = sources.read_table(spark, path, df.schema, multiLine=True, nullValue="\0")
+    assert [r[1] for r in back.orderBy("id").collect()] == values and back.columns == ["id", " Label"]
