@@ -324,11 +324,11 @@ def shape_by_label(spark, sf):
 
 
 def missing_report(spark, sf):
-    return profile.missing_report(flows(spark, sf)).drop("pct")
+    return profile.missing_report(flows(spark, sf))
 
 
 def inf_report(spark, sf):
-    return profile.inf_report(flows(spark, sf)).drop("pct")
+    return profile.inf_report(flows(spark, sf))
 
 
 def mixed_type_report(spark, sf):
@@ -361,11 +361,11 @@ def dominant_columns(spark, sf):
 
 
 def label_distribution(spark, sf):
-    return profile.label_distribution(flows(spark, sf)).drop("pct")
+    return profile.label_distribution(flows(spark, sf))
 
 
 def label_distribution_by(spark, sf):
-    return profile.label_distribution(table(spark, sf, "events"), "event_type", by="user_id").drop("pct")
+    return profile.label_distribution(table(spark, sf, "events"), "event_type", by="user_id")
 
 
 def class_summary(spark, sf):
@@ -450,11 +450,11 @@ def inf_remediation(spark, sf):
 
 def inf_remaining(spark, sf):
     _, report = repair.remediate_inf(flows(spark, sf).select("row_id", *DOUBLES))
-    return report.drop("pct")
+    return report
 
 
 def clean_and_profile(spark, sf):
-    return profile.label_distribution(clean_table(flows(spark, sf), HANDSHAKE, ["proto"])).drop("pct")
+    return profile.label_distribution(clean_table(flows(spark, sf), HANDSHAKE, ["proto"]))
 
 
 # ---------------------------------------------------------------- set operations

@@ -101,6 +101,6 @@ def direction(value: Column) -> Column:
 
 
 def explain_text(label: Column, features: Column, signs: Column) -> Column:
-    """``<label> predicted because: a was high, b was low`` from two arrays of equal length."""
+    """One sentence from two arrays of equal length. Fixed format: ``<label> predicted because: a was high, b was low``."""
     parts = F.zip_with(features, signs, lambda f, s: F.concat(f, F.lit(" was "), s))
     return F.concat(label, F.lit(" predicted because: "), F.array_join(parts, ", "))

@@ -51,11 +51,12 @@ def knn_join(queries: DataFrame, base: DataFrame, key: str, features: str | list
 def knn_lists(queries: DataFrame, base: DataFrame, key: str, features: str | list[str], k: int = 5, within: str | None = None,
               label: str | None = None, block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
     """The query rows with their neighbours as an array of structs, nearest first, in ``neighbors``."""
-    group = q(within).cast("string") if within else F.lit("")
-    searched = queries.withColumn("_v", vector_of(queries, features)).withColumn("_g", F.coalesce(group, F.lit("")))
+    # Rows without a group are a group of their own, apart from the empty text.
+    group = F.coalesce(F.concat(F.lit("="), q(within).cast("string")), F.lit("")) if within else F.lit("")
+    searched = queries.withColumn("_v", vector_of(queries, features)).withColumn("_g", group)
     searched = searched.withColumn("_id", _identity())
     tag = q(label).cast("string") if label else F.lit(None).cast("string")
-    points = base.select(q(key).alias("_k"), tag.alias("_l"), F.coalesce(group, F.lit("")).alias("_g"), vector_of(base, features).alias("_v"))
+    points = base.select(q(key).alias("_k"), tag.alias("_l"), group.alias("_g"), vector_of(base, features).alias("_v"))
     distinct = searched.groupBy("_id").agg(F.first("_g").alias("_g"), F.first("_v").alias("_v"), F.count(F.lit(1)).alias("_copies"))
     distinct = written(distinct, "queries")
     found = _search(distinct.drop("_copies"), points, dtypes(base)[key], k, block_rows, pivots)
@@ -122,6 +123,7 @@ def _search(queries: DataFrame, points: DataFrame, key_type: T.DataType, k: int,
 
 def _visit(visits: DataFrame, placed: DataFrame, blocks: DataFrame, schema: T.StructType, k: int, block_rows: int) -> DataFrame:
     """Lets each (query, cell) pair see the cell's vectors, as an equi-join of bounded chunks and blocks."""
+    visits = written(visits, "visits")
     chunks = visits.groupBy("_g", "_cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_chunks"))
     # One row per cell, hence at most MAX_CELLS.
     sides = F.broadcast(chunks.join(blocks, ["_g", "_cell"]))
@@ -209,17 +211,37 @@ def _other_cells(centers: np.ndarray, spans: dict) -> Callable:
 
 
 def _tile(k: int) -> Callable:
-    """The k + 1 nearest keys within one chunk x block."""
+    """The k + 1 nearest keys within one chunk x block.
+
+    Squared distances come from a matrix product; pairs that could be among the nearest within its rounding error are
+    measured again by plain differences.
+    """
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            base = _matrix(right["_v"])
-            ids, keys, labels = left["_id"].to_numpy(), right["_ks"].to_numpy(), right["_ls"].to_numpy()
-            for start, d in _distances(_matrix(left["_v"]), base):
-                edge = np.partition(d, k, axis=1)[:, k] if d.shape[1] > k + 1 else np.full(len(d), np.inf)
-                for i, row in enumerate(d):
-                    hits = [(row[j], key, label, base[j]) for j in np.flatnonzero(row <= edge[i]) for key, label in zip(keys[j], labels[j])]
-                    hits.sort(key=lambda h: h[:2])
-                    out.extend((ids[start + i], *h) for h in hits[:k + 1])
-        return pd.DataFrame(out, columns=["_id", "_d", "_n", "_nl", "_nv"])
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in ("_id", "_d", "_n", "_nl", "_nv")})
+        base, ids = _matrix(right["_v"]), left["_id"].to_numpy()
+        copies = right["_ks"].str.len().to_numpy()
+        keys = np.concatenate([np.asarray(x) for x in right["_ks"]])
+        labels = np.concatenate([np.asarray(x, dtype=object) for x in right["_ls"]])
+        first = np.cumsum(copies) - copies
+        place = np.unique(keys, return_inverse=True)[1]
+        squares, parts = (base ** 2).sum(1), []
+        queries = _matrix(left["_v"])
+        step = max(1, _WORK // max(1, len(base)))
+        for start in range(0, len(queries), step):
+            a = queries[start:start + step]
+            own = (a ** 2).sum(1)
+            rough = own[:, None] + squares - 2 * (a @ base.T)
+            slack = 1e-9 * (own + squares.max() + 1)
+            edge = np.partition(rough, k, axis=1)[:, k] + slack if rough.shape[1] > k + 1 else np.full(len(a), np.inf)
+            row, column = np.nonzero(rough <= edge[:, None])
+            d = np.sqrt(((a[row] - base[column]) ** 2).sum(-1))
+            entry = np.repeat(first[column], copies[column]) + np.arange(copies[column].sum()) - np.repeat(np.cumsum(copies[column]) - copies[column], copies[column])
+            row, column, d = (np.repeat(x, copies[column]) for x in (row, column, d))
+            order = np.lexsort((place[entry], d, row))
+            row, column, d, entry = row[order], column[order], d[order], entry[order]
+            begins = np.searchsorted(row, row)
+            kept = np.arange(len(row)) - begins <= k
+            parts.append(pd.DataFrame({"_id": ids[start + row[kept]], "_d": d[kept], "_n": keys[entry[kept]], "_nl": labels[entry[kept]], "_nv": list(base[column[kept]])}))
+        return pd.concat(parts, ignore_index=True)
     return compare

@@ -261,7 +261,8 @@ def outlier_report(df: DataFrame, columns: Iterable[str] | None = None, k: float
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Up to ``bins`` distinct values: rows per value. Beyond that: rows in equal-width bins, the last one closed."""
+    """Up to ``bins`` distinct values: rows per value. Beyond that: rows in equal-width bins, the last one
+    closed, all of them, empty ones with 0."""
     values = df.select(numeric(column, dtypes(df)[column]).alias("x")).where(q("x").isNotNull() & ~is_inf(q("x")))
     row = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.approx_count_distinct("x").alias("d")).first()
     many = row["d"] > 2 * bins + 64 or (row["d"] > 0 and values.distinct().limit(bins + 1).count() > bins)
@@ -269,8 +270,9 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         return values.groupBy(q("x").alias("low")).agg(F.count(F.lit(1)).alias("n")).select("low", q("low").alias("high"), "n")
     width = (row["hi"] - row["lo"]) / bins
     slot = F.least(F.floor((q("x") - row["lo"]) / width), F.lit(bins - 1)).cast("int")
-    return (values.groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-            .select((q("bin") * width + row["lo"]).alias("low"), ((q("bin") + 1) * width + row["lo"]).alias("high"), "n"))
+    counts = values.groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return (local_table(df.sparkSession, [(i,) for i in range(bins)], "bin int").join(counts, "bin", "left")
+            .select((q("bin") * width + row["lo"]).alias("low"), ((q("bin") + 1) * width + row["lo"]).alias("high"), F.coalesce("n", F.lit(0)).alias("n")))
 
 
 def duplicate_count(df: DataFrame, by: str | None = None) -> DataFrame:

@@ -3,20 +3,18 @@
 A window over a label would put the majority class on one task. Here the order of each group is cut into cells: an
 ordinary aggregate counts the rows per (group, cell), the running sum of these counts gives each cell's offset, and
 only rows of one cell are sorted together. Seeded orders use the prefix of the hash as the cell, which needs no
-look at the data; orders by a column use quantiles of that column.
+look at the data; orders by a key use ranges of the whole key.
 
 Keys must tell rows apart. For tables without such a key, :func:`with_copy_number` adds the missing part.
 """
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..functions import CELLS, cell_digits, dtypes, hash_cell, order_hash, q
-from ..session import small_table
+from ..functions import cell_digits, hash_cell, order_hash, q
+from ..session import small_table, written
 
 COPY_BLOCK = 100_000
 ROWS_PER_CELL = 1_000_000
@@ -58,41 +56,16 @@ def with_copy_number(df: DataFrame, out: str = "_copy") -> DataFrame:
     return repeat_rows(counted, "_n", out)
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """A double that grows with the column, for cutting its range into cells; NULL sorts first."""
-    dtype = dtypes(df)[name]
-    c = q(name)
-    if isinstance(dtype, T.NumericType):
-        value = c.cast("double")
-    elif isinstance(dtype, T.TimestampType):
-        value = F.unix_micros(c).cast("double")
-    elif isinstance(dtype, T.TimestampNTZType):
-        value = F.unix_date(c.cast("date")) * F.lit(86400.0) + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    elif isinstance(dtype, T.DateType):
-        value = F.unix_date(c).cast("double")
-    elif isinstance(dtype, T.StringType):
-        low, high = df.agg(F.min(c), F.max(c)).first()
-        low, high = (low or "").encode(), (high or "").encode()
-        shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-        head = F.substring(F.encode(c, "UTF-8"), shared + 1, 6)
-        value = F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
-    else:
-        raise TypeError(f"cannot order by {dtype.simpleString()} column {name!r}")
-    return F.coalesce(value, F.lit(float("-inf")))
-
+def _by_key(df: DataFrame, key: list[str], rows_per_cell: int) -> DataFrame:
+    """Adds ``_cell``: ranges of the whole key over the whole table, about ``rows_per_cell`` rows each.
 
-def _by_column(df: DataFrame, name: str, rows_per_cell: int) -> DataFrame:
-    """Adds ``_cell``: equal-depth ranges of the column over the whole table, hence at most that deep in any group."""
-    df = df.withColumn("_pos", _position(df, name))
-    n = df.count()
-    cells = min(CELLS, -(-n // rows_per_cell))
+    Spark samples full keys for the borders, so neither a hot first column nor texts with a long common beginning fill a
+    cell. The table is written once in this order, which fixes the cells.
+    """
+    cells = -(-df.count() // rows_per_cell)
     if cells < 2:
-        return df.withColumn("_cell", F.lit(0)).drop("_pos")
-    cuts = df.agg(F.percentile_approx("_pos", [i / cells for i in range(1, cells)], max(10_000, 10 * cells))).first()[0]
-    # Infinite and NaN keys sort before and behind all cuts: they need none of their own.
-    splits = [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)}), float("inf")]
-    cell = Bucketizer(splits=splits, inputCol="_pos", outputCol="_cell", handleInvalid="keep")
-    return cell.transform(df).withColumn("_cell", q("_cell").cast("int")).drop("_pos")
+        return df.withColumn("_cell", F.lit(0))
+    return written(df.repartitionByRange(cells, *[q(k).asc() for k in key]).withColumn("_cell", F.spark_partition_id()), "cells")
 
 
 def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None,
@@ -115,7 +88,7 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
         if seed is not None:
             columns = [order_hash(seed, key).alias("_o0"), *columns]
         else:
-            df = _by_column(df, key[0], rows_per_cell)
+            df = _by_key(df, key, rows_per_cell)
         order = [f"_o{i}" for i in range(len(columns))]
         df = df.select("*", *columns)
         if seed is not None:
@@ -130,7 +103,7 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
 def _cells(o: Ordered) -> DataFrame:
     """Rows per (group, cell), rows before the cell and rows of the whole group.
 
-    A group has at most CELLS cells, so the window behind the running sum is bounded.
+    The window behind the running sum sees one row per cell of a group.
     """
     group = [q(g) for g in o.group]
     counts = o.df.groupBy(*group, "_cell").agg(F.count(F.lit(1)).alias("_n"))

@@ -117,3 +117,13 @@ def test_many_labels_are_numbered_like_few(spark, monkeypatch):
     few = sorted(map(tuple, columns.label_index(df).collect()))
     monkeypatch.setattr(columns, "small_table", lambda t, n=10: small_table(t, n))
     assert sorted(map(tuple, columns.label_index(df).collect())) == few
+
+
+@pytest.mark.parametrize("key", [["day", "id"], ["url"]])
+def test_no_cell_is_hot(spark, key):
+    df = spark.range(20_000).select("id", F.lit("2020-01-01").alias("day"), F.concat(F.lit("https://example.org/a/long/common/path/"), F.md5(F.col("id").cast("string"))).alias("url"))
+    df = df.unionByName(local_table(spark, [(-1, None, "a")], "id bigint, day string, url string"))
+    cells = ranking.ordered(df, (), key, None, rows_per_cell=1000).df.groupBy("_cell").count().collect()
+    assert max(r["count"] for r in cells) <= 2000 and len(cells) > 15
+    got = {r["id"]: r["rn"] for r in ranking.number_rows(df, (), key, rows_per_cell=1000).collect()}
+    assert [got[r["id"]] for r in df.orderBy(*key).collect()] == list(range(1, 20_002))
