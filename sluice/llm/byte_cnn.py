@@ -169,12 +169,13 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: s
 def with_scores(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
     """(row, score) for every row of ``docs``; ``row`` is the whole row as a struct."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    frame = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    frame = docs.select(F.struct("*").alias("row"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.scores(piece.data, piece.offsets) for piece in pieces(batch.column(1), 1 << 20)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found) if found else np.zeros(0))], names=["row", "score"])
+            for piece in pieces(batch.column(0).field(text_col), 1 << 20):
+                own = batch.column(0).slice(piece.lo, piece.hi - piece.lo)
+                yield pa.RecordBatch.from_arrays([own, pa.array(shared.value.scores(piece.data, piece.offsets))], names=["row", "score"])
 
     return frame.mapInArrow(score, T.StructType([frame.schema["row"], T.StructField("score", T.DoubleType())]))
 

@@ -145,47 +145,64 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str, shard_bytes: int)
         yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == k).collect()]
 
 
-MATCHES = "n_words long, hits array<long>, items array<string>"
+MATCHES = "n_words long, hits array<long>, items array<string>, clean string"
+
+
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hits: list[int], max_span: int) -> str | None:
+    """The text without its hit stretches of more than ``max_span`` words; None if there are none."""
+    spans = [(a, b) for a, b in zip(hits[::2], hits[1::2]) if b - a + 1 > max_span]
+    if not spans:
+        return None
+    at, left, raw = 0, [], data.tobytes()
+    for a, b in spans:
+        left.append(raw[at:starts[a]])
+        at = ends[b]
+    return b"".join([*left, raw[at:]]).decode()
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
-                      window: int = 10, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(row, n_words, hits, items) for every row of ``docs``: ``row`` is the whole row as a struct, so columns of any name pass.
+                      window: int = 10, shard_bytes: int = SHARD_BYTES, cut_over: int | None = None) -> DataFrame:
+    """(row, n_words, hits, items, clean) for every row of ``docs``: ``row`` is the whole row as a struct, so columns of any name pass.
 
     Words are runs of digits, letters and characters beyond ASCII, with A-Z folded. ``hits`` holds the first and last
     word of every maximal stretch of hit words; ``items`` the ids of items that occur, as text, without NULL ids. A
     NULL or empty text has no words; items without words, or with NULL text, match nothing. Equal items are all named.
+    With ``cut_over``, ``clean`` is the text without stretches of more words than that, NULL where nothing is to cut.
     """
     spark = docs.sparkSession
-    frame = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
-                        F.array().cast("array<long>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    schema = T.StructType(frame.schema.fields[:2] + T.StructType.fromDDL(MATCHES).fields)
-    for k, rows in enumerate(_shards(benchmark, item_id_col, item_text_col, shard_bytes)):
+    frame = docs.select(F.struct("*").alias("row"), F.array().cast("array<long>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    schema = T.StructType(frame.schema.fields[:1] + T.StructType.fromDDL(MATCHES).fields)
+    shards = list(enumerate(_shards(benchmark, item_id_col, item_text_col, shard_bytes)))
+    for k, rows in shards:
         if k:
-            frame = written(frame, "matches")
+            frame = written(frame.select("row", "hits", "items"), "matches")
         shared = spark.sparkContext.broadcast(Automaton(rows, window))
+        last = k == len(shards) - 1
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             automaton = shared.value
             for batch in batches:
-                before = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-                n_words, hits, items = [], [], []
-                for piece in pieces(batch.column(1)):
+                texts = batch.column(0).field(text_col)
+                for piece in pieces(texts, 1 << 20):
+                    own = batch.slice(piece.lo, piece.hi - piece.lo)
+                    before = own.column(1).to_pylist(), own.column(2).to_pylist()
                     data = lower_ascii(piece.data)
                     words = words_of(data, piece.offsets, ALNUM)
                     known = member(word_hashes(data, words), automaton.hashes)
-                    n_words.append(np.diff(words.firsts))
-                    for row in range(piece.hi - piece.lo):
-                        at, names = automaton.search(data, words, known, words.firsts[row], words.firsts[row + 1])
-                        old = before[0][piece.lo + row]
+                    hits, items, clean = [], [], []
+                    for row, (old, named) in enumerate(zip(*before)):
+                        a, b = words.firsts[row], words.firsts[row + 1]
+                        at, names = automaton.search(data, words, known, a, b)
                         hits.append(_merged(at + list(zip(old[::2], old[1::2]))))
-                        items.append(sorted({*before[1][piece.lo + row], *(n for n in names if n is not None)}))
-                n_words = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words.astype(np.int64)), pa.array(hits, pa.list_(pa.int64())),
-                                                  pa.array(items, pa.list_(pa.string()))], names=["row", "text", "n_words", "hits", "items"])
+                        items.append(sorted({*named, *(n for n in names if n is not None)}))
+                        lo, hi = piece.offsets[row], piece.offsets[row + 1]
+                        clean.append(_cut(piece.data[lo:hi], words.starts[a:b] - lo, words.ends[a:b] - lo, hits[-1], cut_over)
+                                     if last and cut_over is not None and hits[-1] else None)
+                    yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.diff(words.firsts).astype(np.int64)), pa.array(hits, pa.list_(pa.int64())),
+                                                      pa.array(items, pa.list_(pa.string())), pa.array(clean, pa.string())], names=["row", "n_words", "hits", "items", "clean"])
 
         frame = frame.mapInArrow(search, schema)
-    return frame.drop("text")
+    return frame
 
 
 def hit_words(hits: str = "hits"):
@@ -210,25 +227,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     word's end. A document of which more than ``max_coverage`` of the words are hits goes as a whole. Documents
     without a hit come back as they are.
     """
-    fields = docs.schema.fields
-    found = benchmark_matches(docs, benchmark, text_col=text_col, window=window)
-    kept = found.where(hit_words() <= F.col("n_words") * max_coverage).select("row", F.col("row").getField(text_col).alias("text"), "hits")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for k, hits in enumerate(batch.column(2).to_pylist()):
-                spans = [(a, b) for a, b in zip(hits[::2], hits[1::2]) if b - a + 1 > max_span]
-                if spans:
-                    raw = texts[k].encode()
-                    data = lower_ascii(np.frombuffer(raw, np.uint8))
-                    words = words_of(data, np.array([0, len(data)]), ALNUM)
-                    at, left = 0, []
-                    for a, b in spans:
-                        left.append(raw[at:words.starts[a]])
-                        at = words.ends[b]
-                    texts[k] = b"".join([*left, raw[at:]]).decode()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "clean"])
-
-    done = kept.mapInArrow(cut, T.StructType([kept.schema["row"], T.StructField("clean", T.StringType())]))
-    return done.select(*[(F.col("clean") if f.name == text_col else F.col("row").getField(f.name)).alias(f.name) for f in fields])
+    found = benchmark_matches(docs, benchmark, text_col=text_col, window=window, cut_over=max_span)
+    kept = found.where(hit_words() <= F.col("n_words") * max_coverage)
+    return kept.select(*[(F.coalesce("clean", F.col("row").getField(c)) if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 BLOCK = 1 << 18
 _MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
