@@ -577,7 +577,10 @@ def smote_counts(spark, sf):
 
 
 def smote_rows(spark, sf):
-    return _oversampled(spark, sf, "smote").where("synthetic").select("label", F.size("embedding").alias("width"))
+    """Every new row: some of its numbers and their sum."""
+    at = lambda i: F.round(F.get("embedding", F.lit(i)).cast("double"), 4).alias(f"x{i}")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return _oversampled(spark, sf, "smote").where("synthetic").select("label", at(0), at(31), at(63), F.round(total, 3).alias("total"))
 
 
 def borderline_counts(spark, sf):
