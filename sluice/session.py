@@ -23,11 +23,13 @@ def local_session(cpus: int | str = 8, app: str = "sluice") -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings for wide tables, where they still have Spark's default.
+    """Settings for wide tables and for names as they stand.
 
     Rules and profiles over many columns make large generated methods, and HotSpot leaves methods above 8000 bytes
     uncompiled. With this limit Spark runs such stages operator by operator, in methods small enough to be compiled.
     """
+    # Names that differ in case only are different columns, as in the files they come from.
+    spark.conf.set("spark.sql.caseSensitive", "true")
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
@@ -57,14 +59,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_table(df: DataFrame, max_rows: int = 100_000) -> tuple[DataFrame, list | None]:
+def small_table(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> tuple[DataFrame, list | None]:
     """Fetches a table that is expected to be small, after checking that it is.
 
-    Up to ``max_rows`` rows the result is a local table with a broadcast hint and the rows themselves. A larger one
-    stays distributed, without a hint, and the rows are ``None``.
+    Up to ``max_rows`` rows and about ``max_bytes`` of texts the result is a local table with a broadcast hint and the rows
+    themselves. A larger one stays distributed, without a hint, and the rows are ``None``.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    if len(rows) > max_rows or sum(len(v) for r in rows for v in r if isinstance(v, (str, bytes, bytearray))) > max_bytes:
         return df, None
     return F.broadcast(local_table(df.sparkSession, rows, df.schema)), rows
 

@@ -113,3 +113,16 @@ def test_routing_takes_whole_groups(spark):
     df = local_table(spark, [("f1", "BENIGN"), ("f1", "DoS"), ("f2", "DoS"), ("f3", None)], "file string, label string")
     got = rules.route_by_group(df, "file", F.lower("label") == "benign").orderBy("file", "label")
     assert [r["route"] for r in got.collect()] == ["benign", "benign", "attack", "attack"]
+
+
+def test_names_that_differ_in_case_are_columns_of_their_own(spark):
+    from sluice.operators import columns
+    df = local_table(spark, [(1, "a", "b")], "id int, Label string, label string")
+    assert columns.drop_columns(df, ["Label"]).columns == ["id", "label"]
+    assert columns.drop_columns(df, ["Label"]).collect() == [(1, "b")]
+
+
+def test_long_texts_are_not_broadcast(spark):
+    from sluice.session import small_table
+    df = local_table(spark, [(i, "x" * 1000) for i in range(20)], "id int, t string")
+    assert small_table(df, max_bytes=10_000)[1] is None and len(small_table(df)[1]) == 20
