@@ -18,17 +18,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .words import (SPACED, bucket_count, bucket_slices, list_values, lists_by, member, order_pairs, pack, pack_small, pieces, run_starts,
                     unpack, unpack_small, whole, windows, word_hashes, words_of)
 
-SENT = "bucket int, ids binary, hashes binary, checks binary, rows binary"
-SENT_ARROW = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("hashes", pa.binary()), ("checks", pa.binary()), ("rows", pa.binary())])
+SENT = "bucket long, ids binary, hashes binary, checks binary, rows binary"
+SENT_ARROW = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("checks", pa.binary()), ("rows", pa.binary())])
 FOUND = "id long, hashes array<long>"
 #: Block hashes keep 48 bits, which travel in fewer bytes; a false anchor only means windows that are looked at in vain.
 _CLEAR = np.uint64(0xFFFFFFFFFFFF0000)
@@ -45,11 +46,18 @@ def _send(h: np.ndarray, check: np.ndarray, row: np.ndarray, ids: np.ndarray, bu
     return out
 
 
-def _keep(out: dict, h: np.ndarray, row: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Adds what the piece has decided itself, under negative buckets that are passed through."""
+def _piece_keys() -> Iterator[int]:
+    """Negative buckets, one for each piece of this task that no other piece has."""
+    task = TaskContext.get().partitionId()
+    return (-1 - (task << 32 | n) for n in count())
+
+
+def _keep(out: dict, h: np.ndarray, row: np.ndarray, ids: np.ndarray, key: int) -> pa.RecordBatch:
+    """Adds what the piece has decided itself, under the piece's own negative bucket, which is passed through. A group of
+    such a bucket is one piece's, however many pieces hold the same text."""
     if len(h):
         used, local = np.unique(row, return_inverse=True)
-        for name, value in zip(SENT_ARROW.names, (-1 - int(h[0] % np.uint64(buckets)), pack(ids[used]), pack(h), pack_small(np.zeros(len(h))), pack_small(local))):
+        for name, value in zip(SENT_ARROW.names, (key, pack(ids[used]), pack(h), pack_small(np.zeros(len(h))), pack_small(local))):
             out[name].append(value)
     return pa.RecordBatch.from_pydict(out, SENT_ARROW)
 
@@ -72,6 +80,7 @@ def _rank(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _anchor_lists(docs: DataFrame, block: int, buckets: int) -> DataFrame:
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _piece_keys()
         for batch in batches:
             for piece in pieces(batch.column(1)):
                 words = words_of(piece.data, piece.offsets, SPACED)
@@ -95,7 +104,7 @@ def _anchor_lists(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                 sent = first | ~settled
                 flag = np.where((indexed | settled)[sent], _FLAG, np.uint64(0))
                 out = _send(h[sent] | flag, np.zeros(int(sent.sum())), doc[sent], ids, buckets, _SHIFT)
-                yield _keep(out, h[settled], doc[settled], ids, buckets)
+                yield _keep(out, h[settled], doc[settled], ids, next(keys))
     return docs.mapInArrow(lists, SENT)
 
 
@@ -119,6 +128,7 @@ def _signed_order(ids: np.ndarray) -> np.ndarray:
 
 def _window_lists(anchored: DataFrame, width: int, block: int, buckets: int) -> DataFrame:
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _piece_keys()
         for batch in batches:
             batch = batch.filter(batch.column(2).is_valid())
             anchor_offsets, anchors = list_values(batch.column(2))
@@ -147,7 +157,7 @@ def _window_lists(anchored: DataFrame, width: int, block: int, buckets: int) ->
                 h, check, doc = h[one], check[one], doc[one]
                 first = np.zeros(len(h), bool)
                 first[run_starts(h, check)] = True
-                yield _keep(_send(h[first], check[first], doc[first], ids, buckets), h[~first], doc[~first], ids, buckets)
+                yield _keep(_send(h[first], check[first], doc[first], ids, buckets), h[~first], doc[~first], ids, next(keys))
     return anchored.mapInArrow(lists, SENT)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edge import documents, empty, texts
-from sluice.llm import decontaminate as dec, line_chunks, ngram_join
+from sluice.llm import block_anchors, decontaminate as dec, line_chunks, ngram_join
 from sluice.llm.block_anchors import repeats_removed
 from sluice.session import local_table
 
@@ -68,6 +68,26 @@ def test_block_anchors(spark):
         repeats_removed(empty(spark), width=2)
 
 
+def test_settled_rows_of_pieces_are_not_grouped_together(spark):
+    """Every piece holds the same passage, so all have the same settled hashes; each is a group of its own."""
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = local_table(spark, [(i, f"a{i} {passage} b{i}") for i in range(120)], "id long, text string").repartition(6)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        sent = block_anchors._anchor_lists(docs, 7, 48)
+        found = sent.where("bucket < 0").groupBy("bucket").count().collect()
+        assert len(found) >= 24 and all(r["count"] == 1 for r in found)
+        anchors = block_anchors._gathered(sent.groupBy("bucket").applyInArrow(block_anchors._anchors, block_anchors.FOUND))
+        sent = block_anchors._window_lists(docs.join(anchors, "id", "left").repartition(6), 13, 7, 48)
+        found = sent.where("bucket < 0").groupBy("bucket").count().collect()
+        assert len(found) >= 24 and all(r["count"] == 1 for r in found)
+        got = repeats_removed(docs.withColumnRenamed("id", "doc_id"))
+        assert {(r.doc_id, r.n_removed) for r in got.collect()} == {(i, 40 if i else 0) for i in range(120)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
 def items_table(spark):
     some = [t for t in texts() if t]
     rows = [(10, some[1][:300]), (2, some[2]), (2, some[2]), (3, "one two"), (4, "changed"), (5, None), (6, ""), (7, "KAN, kar!"), (None, some[4]), (8, "absent words here")]
