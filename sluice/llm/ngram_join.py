@@ -3,11 +3,14 @@
 The set of a document is its distinct runs of ``width`` words (a shorter text is one run, a text without words is
 empty). Two documents link if ``100 * |intersection| >= percent * |union|``.
 
-1. Every text becomes a set of 64-bit run hashes. Equal sets have one *node* (a 64-bit sum over the set); from here on
-   copies count once.
-2. The hashes go to range buckets as packed sorted lists with document numbers beside them. A bucket counts the nodes of
+1. Every text becomes a set of 64-bit run hashes. Equal sets have one *node* (a 64-bit sum over the set). A node leaves a
+   piece of text once, however many copies the piece has.
+2. The hashes go to range buckets as packed sorted lists with node numbers beside them. A bucket counts the nodes of
    each hash. This gives the global order: rare n-grams first, then by hash. N-grams of one node alone are counted and go
    no further; a node that shares fewer than ``percent`` of its n-grams has no partner at all and leaves.
+   *Frequent* n-grams go to no range bucket, because one hash cannot be split: pieces count the nodes of each hash, the sums
+   of these partial counts name the hashes, and their entries are dealt by node. The sum stands for the count in the
+   order (a node counts once per piece there), which any fixed number would do.
 3. Partners must share an n-gram of their prefixes. Each prefix n-gram links its nodes in a star, not pairwise;
    the components of these stars are the candidate groups. Large groups are divided by set size (partners differ by a
    bounded factor) and into cells of bounded size; small groups are put together. Two cells make a tile.
@@ -30,12 +33,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import written
 from .components import components
-from .words import (SPACED, bucket_count, bucket_slices, lower_ascii, mix, order_pairs, pack, pack_small, pieces, unpack, unpack_small,
-                    whole, windows, word_hashes, words_of)
+from .words import (SPACED, bucket_count, bucket_slices, lower_ascii, member, mix, order_pairs, pack, pack_small, pieces, run_starts, unpack,
+                    unpack_small, whole, windows, word_hashes, words_of)
 
 CELL = 256
 SMALL_GROUP = 64
 FRAGMENTS = 8
+#: A piece reports hashes that at least so many of its nodes have; a hash whose reports reach the limit below is frequent.
+REPORTED = 4
+FREQUENT = 4096
 
 
 def _sets(column: pa.Array, width: int, lower: bool) -> Iterator[tuple]:
@@ -67,64 +73,102 @@ def _sets(column: pa.Array, width: int, lower: bool) -> Iterator[tuple]:
         yield piece, h, r, sizes, node.view(np.int64)
 
 
+def _by_node(h: np.ndarray, r: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A piece's (hash, row) pairs without copies: hashes ascending, the place of each one's node, the nodes ascending."""
+    nodes, one, place = np.unique(node.view(np.uint64), return_index=True, return_inverse=True)
+    first = one[place[r]] == r
+    return h[first], place[r[first]], nodes
+
+
 def shingle_stats(docs: DataFrame, id_col: str, text_col: str, width: int, lower: bool) -> DataFrame:
-    """(id, n_shingles, node) of every row."""
+    """(id, n_shingles, node, common, times) of every row. A piece's first row carries the hashes that many of the piece's
+    nodes have, and of how many; elsewhere these lists are NULL."""
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, _, _, sizes, node in _sets(batch.column(1), width, lower):
+            for piece, h, r, sizes, node in _sets(batch.column(1), width, lower):
+                found, times = np.unique(_by_node(h, r, node)[0], return_counts=True)
+                found, times = found[times >= REPORTED], times[times >= REPORTED]
+                others = [None] * (len(sizes) - 1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(piece.lo, piece.hi - piece.lo), pa.array(sizes.astype(np.int64)),
-                                                  pa.array(node, mask=sizes == 0)], names=["id", "n_shingles", "node"])
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())])
+                                                  pa.array(node, mask=sizes == 0), pa.array([found.view(np.int64), *others], pa.list_(pa.int64())),
+                                                  pa.array([times.astype(np.int32), *others], pa.list_(pa.int32()))], names=["id", "n_shingles", "node", "common", "times"])
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType()),
+                           T.StructField("common", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(stats, schema)
 
 
-def _hash_lists(docs: DataFrame, text_col: str, width: int, lower: bool, buckets: int) -> DataFrame:
+def frequent_hashes(stats: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes ascending that very many nodes have, and the sums of their reports.
+
+    A hash that is not among them has fewer entries than the limit and ``REPORTED`` for each piece. As the reports add up
+    to ``total`` at most, no more than 2^17 hashes (or ``total / FREQUENT``, if less) reach the limit.
+    """
+    n_pieces = stats.where("common is not null").count()
+    limit = max(FREQUENT, REPORTED * n_pieces, total >> 17)
+    reports = stats.where("common is not null").select(F.explode(F.arrays_zip("common", "times")).alias("x"))
+    sums = reports.groupBy(F.col("x.common").alias("hash")).agg(F.sum("x.times").alias("n")).where(F.col("n") >= limit).toArrow()
+    h, n = sums.column("hash").to_numpy().view(np.uint64), sums.column("n").to_numpy()
+    order = np.argsort(h)
+    return h[order], np.minimum(n[order], 2**31 - 1).astype(np.int32)
+
+
+def _hash_lists(docs: DataFrame, text_col: str, width: int, lower: bool, buckets: int, frequent: np.ndarray = np.zeros(0, np.uint64)) -> DataFrame:
+    """Packed (hash, node) pairs: by ranges of hashes, and those of frequent hashes by ranges of nodes under negative buckets."""
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, h, r, _, node in _sets(batch.column(0), width, lower):
                 out = {"bucket": [], "nodes": [], "hashes": [], "rows": []}
-                ranks = np.argsort(node.view(np.uint64))
-                place = np.empty(len(node), np.int64)
-                place[ranks] = np.arange(len(node))
-                ascending = node.view(np.uint64)[ranks]
-                for bucket, a, b in bucket_slices(h, buckets):
-                    used, local = np.unique(place[r[a:b]], return_inverse=True)
+                h, place, nodes = _by_node(h, r, node)
+                hot = member(h, frequent)
+                hot_h, hot_place, h, place = h[hot], place[hot], h[~hot], place[~hot]
+                groups = [(bucket, h[a:b], place[a:b]) for bucket, a, b in bucket_slices(h, buckets)]
+                if len(hot_h):
+                    of = (nodes[hot_place] % np.uint64(buckets)).astype(np.int64)
+                    order = np.argsort(of, kind="stable")
+                    cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
+                    groups += [(-1 - int(of[x[0]]), hot_h[x], hot_place[x]) for x in np.split(order, cuts[1:])]
+                for bucket, hashes, at in groups:
+                    used, local = np.unique(at, return_inverse=True)
                     out["bucket"].append(bucket)
-                    out["nodes"].append(pack(ascending[used]))
-                    out["hashes"].append(pack(h[a:b]))
+                    out["nodes"].append(pack(nodes[used]))
+                    out["hashes"].append(pack(hashes))
                     out["rows"].append(pack_small(local))
                 yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("hashes", pa.binary()), ("rows", pa.binary())]))
     return docs.select(F.col(text_col).alias("text")).mapInArrow(lists, "bucket int, nodes binary, hashes binary, rows binary")
 
 
-def _shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Of one bucket: for each node its hashes that other nodes have, too, and the number of nodes of each."""
-    hashes = np.concatenate([unpack(x.as_py()) for x in table.column("hashes")])
-    nodes = np.concatenate([unpack(n.as_py())[unpack_small(r.as_py())] for n, r in zip(table.column("nodes"), table.column("rows"))])
-    order = np.argsort(hashes)
-    h, v = hashes[order], nodes[order]
-    twice = np.zeros(len(h) + 1, bool)
-    twice[1:-1] = h[1:] == h[:-1]
-    twice = twice[1:] | twice[:-1]
-    h, v = h[twice], v[twice]
+def _distinct(h: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((v, h))
     h, v = h[order], v[order]
-    if len(h):
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (v[1:] != v[:-1])
-        h, v = h[new], v[new]
-        begins = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        df = np.diff([*begins, len(h)])
-        df = np.repeat(df, df)
-        h, v, df = h[df > 1], v[df > 1], df[df > 1]
-    else:
-        df = np.zeros(0, np.int64)
-    order = np.argsort(v, kind="stable")
-    h, v, df = h[order], v[order], df[order]
-    cuts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
-    offsets = pa.array(np.append(cuts, len(v)).astype(np.int32))
-    return pa.table({"node": pa.array(v[cuts].view(np.int64)), "hashes": pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64))),
-                     "counts": pa.ListArray.from_arrays(offsets, pa.array(df.astype(np.int32)))})
+    new = run_starts(h, v)
+    return h[new], v[new]
+
+
+def _shared_of(frequent: np.ndarray, times: np.ndarray):
+    def shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Of one bucket: for each node its hashes that other nodes have, too, and the number of nodes of each."""
+        h = np.concatenate([unpack(x.as_py()) for x in table.column("hashes")])
+        v = np.concatenate([unpack(n.as_py())[unpack_small(r.as_py())] for n, r in zip(table.column("nodes"), table.column("rows"))])
+        if key[0].as_py() < 0:
+            h, v = _distinct(h, v)
+            df = times[np.searchsorted(frequent, h)]
+        else:
+            order = np.argsort(h)
+            h, v = h[order], v[order]
+            twice = np.zeros(len(h) + 1, bool)
+            twice[1:-1] = h[1:] == h[:-1]
+            twice = twice[1:] | twice[:-1]
+            h, v = _distinct(h[twice], v[twice])
+            df = np.diff(np.append(run_starts(h), len(h)))
+            df = np.repeat(df, df)
+            h, v, df = h[df > 1], v[df > 1], df[df > 1]
+        order = np.argsort(v, kind="stable")
+        h, v, df = h[order], v[order], df[order]
+        cuts = run_starts(v)
+        offsets = pa.array(np.append(cuts, len(v)).astype(np.int32))
+        return pa.table({"node": pa.array(v[cuts].view(np.int64)), "hashes": pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64))),
+                         "counts": pa.ListArray.from_arrays(offsets, pa.array(df.astype(np.int32)))})
+    return shared
 
 
 def least_overlap(n: Column, percent: int) -> Column:
@@ -215,8 +259,9 @@ def node_links(docs: DataFrame, stats: DataFrame, text_col: str, width: int, per
     """Links between nodes, a spanning set of them: columns a, b."""
     total = stats.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = bucket_count(total, 2 << 20, 48)
-    lists = _hash_lists(docs, text_col, width, lower, buckets).groupBy("bucket")
-    shared = lists.applyInArrow(_shared, "node long, hashes array<long>, counts array<int>")
+    frequent, times = frequent_hashes(stats, total)
+    lists = _hash_lists(docs, text_col, width, lower, buckets, frequent).groupBy("bucket")
+    shared = lists.applyInArrow(_shared_of(frequent, times), "node long, hashes array<long>, counts array<int>")
     sizes = stats.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"))
     own = (shared.groupBy("node").agg(F.sum(F.size("hashes")).alias("n_shared"), F.collect_list(F.arrays_zip("counts", "hashes")).alias("tokens"))
            .join(sizes, "node").where(F.col("n_shared") >= least_overlap(F.col("n_shingles"), percent))
@@ -281,7 +326,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     stats = written(shingle_stats(docs, id_col, text_col, width, lower), "shingle-stats")
     roots = components(node_links(docs, stats, text_col, width, percent, lower))
-    known = stats.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = stats.select("id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.where("node is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     return (known.join(least, "root", "left").select(F.col("id").alias(id_col), "n_shingles",
             F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))

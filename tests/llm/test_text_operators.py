@@ -45,6 +45,48 @@ def test_similar_components(spark, monkeypatch, group, cell):
     assert ngram_join.similar_components(empty(spark)).count() == 0
 
 
+def entries(lists):
+    """How often each hash is sent, by kind of bucket."""
+    sent = {True: Counter(), False: Counter()}
+    for r in lists.collect():
+        sent[r.bucket < 0].update(ngram_join.unpack(bytes(r.hashes)).tolist())
+    return sent[False], sent[True]
+
+
+def test_copies_leave_a_piece_once(spark):
+    docs = local_table(spark, [("one two three four five six",)] * 300, "text string").repartition(3)
+    by_hash, by_node = entries(ngram_join._hash_lists(docs, "text", 4, True, 48))
+    assert len(by_hash) == 3 and max(by_hash.values()) <= 3 and not by_node
+
+
+def test_frequent_ngrams_are_dealt_by_node(spark, monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = local_table(spark, [(i, f"{passage} a{i % 80} b{i % 80}") for i in range(240)], "doc_id long, text string").repartition(4)
+    stats = ngram_join.shingle_stats(docs, "doc_id", "text", 4, True).cache()
+    monkeypatch.setattr(ngram_join, "FREQUENT", 40)
+    frequent, times = ngram_join.frequent_hashes(stats, 240 * 29)
+    assert len(frequent) == 27 and (times >= 80).all()
+    lists = ngram_join._hash_lists(docs, "text", 4, True, 48, frequent)
+    by_hash, by_node = entries(lists)
+    assert max(by_hash.values()) < 40 and set(by_node) == set(frequent.tolist())
+    assert lists.where("bucket < 0").groupBy("bucket").count().count() > 20
+
+    def shared(lists, of):
+        rows = lists.groupBy("bucket").applyInArrow(of, "node long, hashes array<long>, counts array<int>").select("node", F.explode("hashes").alias("h"))
+        return Counter(tuple(r) for r in rows.collect())
+
+    none = np.zeros(0, np.uint64)
+    want = shared(ngram_join._hash_lists(docs, "text", 4, True, 48), ngram_join._shared_of(none, none))
+    assert len(want) == 80 * 27 and shared(lists, ngram_join._shared_of(frequent, times)) == want
+    monkeypatch.setattr(ngram_join, "REPORTED", 1)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    rows = documents(spark).coalesce(1)
+    assert len(ngram_join.frequent_hashes(ngram_join.shingle_stats(rows, "doc_id", "text", 3, True), 0)[0])
+    found = Counter(tuple(r) for r in ngram_join.similar_components(rows, width=3, percent=70).collect())
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1 << 30)
+    assert found == Counter(tuple(r) for r in ngram_join.similar_components(rows, width=3, percent=70).collect())
+
+
 def test_block_anchors(spark):
     rows = documents(spark).select("doc_id", "text").collect()
     width, first = 7, {}
