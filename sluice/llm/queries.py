@@ -9,6 +9,7 @@ from .byte_cnn import quality
 from .decontaminate import contamination
 from .line_chunks import lines_deduplicated
 from .mixing import mixing_plan
+from .multiset_hash import edited_fingerprints
 from .ngram_join import similar_components
 from .norm_buckets import top_k
 from .sharding import balanced_shards
@@ -61,4 +62,10 @@ def op10_toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("passages")
 
 
-QUERIES = {f.__name__: f for f in (op1_training_order, op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments)}
+def op11_multiset_hash(spark: SparkSession, sf: str) -> DataFrame:
+    found = edited_fingerprints(table(spark, sf, "documents"))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+QUERIES = {f.__name__: f for f in (op1_training_order, op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments,
+                                  op11_multiset_hash)}
