@@ -79,4 +79,15 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE = {"op2_norm_buckets": OP2, "op3_decontaminate": OP3, "op5_line_chunks": OP5, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9}
+OP12 = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE = {"op2_norm_buckets": OP2, "op3_decontaminate": OP3, "op5_line_chunks": OP5, "op6_mixing": OP6, "op7_block_anchors": OP7, "op9_ngram_join": OP9, "op12_four_russians": OP12}

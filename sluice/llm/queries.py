@@ -7,6 +7,7 @@ from ..session import configure
 from .block_anchors import repeats_removed
 from .byte_cnn import quality
 from .decontaminate import contamination
+from .four_russians import hard_negatives
 from .line_chunks import lines_deduplicated
 from .mixing import mixing_plan
 from .multiset_hash import edited_fingerprints
@@ -67,5 +68,10 @@ def op11_multiset_hash(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
+def op12_four_russians(spark: SparkSession, sf: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf, "embeddings").withColumn("label", shifted), every=100, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments,
-                                  op11_multiset_hash)}
+                                  op11_multiset_hash, op12_four_russians)}
