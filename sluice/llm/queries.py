@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
+from .alignment import token_alignment
 from .block_anchors import repeats_removed
 from .byte_cnn import quality
 from .decontaminate import contamination
@@ -73,5 +74,9 @@ def op12_four_russians(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives(table(spark, sf, "embeddings").withColumn("label", shifted), every=100, positives=5, negatives=10, low=30, high=90, scale=256)
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_training_order, op2_norm_buckets, op3_decontaminate, op4_byte_cnn, op5_line_chunks, op6_mixing, op7_block_anchors, op8_label_propagation, op9_ngram_join, op10_toxic_segments,
-                                  op11_multiset_hash, op12_four_russians)}
+                                  op11_multiset_hash, op12_four_russians, op13_alignment)}
