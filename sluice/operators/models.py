@@ -1,15 +1,19 @@
 """Training, saving, scoring and evaluating tree models as Spark ML pipelines."""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import IndexToString, SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import columns_of, dtypes, is_numeric, q, quoted
-from ..session import local_table, shared_dir, small_table
+from ..session import local_table, shared_dir, small_table, written
+from . import boosting
 from .columns import label_index
 from .profile import long_values
 from .ranking import number_rows
@@ -21,12 +25,18 @@ TRAINING_PARTITIONS = 32
 
 @dataclass
 class TrainedModel:
-    """A fitted pipeline with the features it expects and the labels behind its indices."""
+    """A fitted pipeline with the features it expects and the labels behind its indices.
+
+    ``codes`` has a table (value, code) per text feature and the number of its values; ``boosted`` the trees of a boosted
+    model, whose pipeline ends with the features.
+    """
     pipeline: PipelineModel
     features: list[str]
     text_features: list[str]
     labels: list[str]
     label_col: str
+    codes: dict[str, tuple[DataFrame, int]] = field(default_factory=dict)
+    boosted: boosting.Boosted | None = None
 
     @property
     def classifier(self):
@@ -80,21 +90,41 @@ def _fills(training: DataFrame, numeric: list[str]) -> list[float]:
     return [-1.0 if low is None else low - max(1.0, abs(low)) for low in lows]
 
 
-def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier, trees_for_labels, partitions: int = TRAINING_PARTITIONS,
-         max_categories: int | None = None) -> TrainedModel:
+def _value_codes(df: DataFrame, c: str) -> tuple[DataFrame, int]:
+    """(value, code) for the distinct values of a text feature, in order, and their number.
+
+    A table of few values is broadcast where it is joined; others are ranked in parallel and written to the shared folder.
+    """
+    values = df.where(q(c).isNotNull()).select(q(c).cast("string").alias("value")).distinct()
+    _, rows = small_table(values, MAX_CATEGORIES)
+    if rows is not None:
+        codes = [(v, float(i)) for i, v in enumerate(sorted((r[0] for r in rows), key=lambda v: v.encode()))]
+        return F.broadcast(local_table(df.sparkSession, codes, "value string, code double")), len(codes)
+    ranked = number_rows(values, (), "value", out="_rn").select("value", (q("_rn") - 1).cast("double").alias("code"))
+    table = written(ranked, "codes")
+    return table, table.count()
+
+
+def _with_codes(df: DataFrame, codes: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Text features as numbers; missing and unknown values get the number behind the last."""
+    for c, (table, n) in codes.items():
+        named = table.select(q("value").alias("_value"), q("code").alias("_code"))
+        df = df.join(named, q(c) == q("_value"), "left").withColumn(c, F.coalesce(q("_code"), F.lit(float(n)))).drop("_value", "_code")
+    return df
+
+
+def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partitions: int = TRAINING_PARTITIONS) -> TrainedModel:
+    """Prepares the features and the labels of a table, and gives them to ``fit(training, stages, numeric, model)``."""
     types = dtypes(df)
     features = [c for c in (features or df.columns) if c != label_col]
     text = [c for c in features if not is_numeric(types[c])]
-    if text:
-        sizes = df.agg(*[F.count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(text)]).first()
-        wide = [c for i, c in enumerate(text) if sizes[i] > (max_categories or MAX_CATEGORIES)]
-        if wide:
-            raise ValueError(f"text features with too many values to index: {wide}; drop them or encode them first")
     labelled = df.where(q(label_col).isNotNull())
     table = label_index(labelled, label_col, "_target")
     labels = [r["_label"] for r in table.orderBy("_target").collect()]
     training = (labelled.select(*_prepared(labelled, features, text), q(label_col).cast("string").alias("_label"))
                 .join(table, "_label").drop("_label").withColumn("_target", q("_target").cast("double")))
+    codes = {c: _value_codes(labelled, c) for c in text}
+    training = _with_codes(training, codes)
     # Spark ML draws its samples per partition and in row order. Rows placed by their hash into a fixed number of
     # partitions and sorted there give the same model on any cluster; training caches them itself.
     spread = [q(c) for c in training.columns]
@@ -102,44 +132,60 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, classifier,
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
-    numeric = [c for c in features if c not in text]
-    filled = {c: f"_filled{i}" for i, c in enumerate(numeric)}
-    fills = _fills(training, numeric)
-    stages, inputs = [], []
-    if numeric:
-        values = [f"coalesce(nanvl({quoted(c)}, CAST(NULL AS DOUBLE)), CAST({low!r} AS DOUBLE)) AS {filled[c]}" for c, low in zip(numeric, fills)]
-        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(values) + " FROM __THIS__"))
-    if text:
-        codes = [f"_code{i}" for i in range(len(text))]
-        stages.append(StringIndexer(inputCols=text, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"))
-        # Adding zero turns the codes into plain numbers; as categories they would be limited by maxBins.
-        numbers = [f"_number{i}" for i in range(len(text))]
-        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(f"{c} + 0D AS {n}" for c, n in zip(codes, numbers)) + " FROM __THIS__"))
-        filled |= dict(zip(text, numbers))
-    inputs = [filled[c] for c in features]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
-    stages.append(trees_for_labels(classifier, len(labels)))
-    stages.append(IndexToString(inputCol="_prediction", outputCol="predicted_label", labels=labels))
-    return TrainedModel(Pipeline(stages=stages).fit(training), features, text, labels, label_col)
+    return fit(training, TrainedModel(None, features, text, labels, label_col, codes))
+
+
+def _filled(model: TrainedModel, replacements: list[str]) -> list:
+    """The stages that fill missing values of each feature and put all of them together."""
+    names = [f"_filled{i}" for i in range(len(model.features))]
+    values = [f"coalesce({quoted(c)}, {r}) AS {n}" for c, r, n in zip(model.features, replacements, names)]
+    return [SQLTransformer(statement="SELECT *, " + ", ".join(values) + " FROM __THIS__"),
+            VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep")]
 
 
 def train_forest(df: DataFrame, label_col: str = "label", features: list[str] | None = None, trees: int = 100, depth: int = 10,
                  seed: int = 42) -> TrainedModel:
     """Random forest. Missing numbers become a value below all others; infinities must be repaired before. Text features
-    are indexed inside the pipeline."""
+    become the positions of their values, of which there may be any number."""
     forest = RandomForestClassifier(featuresCol="_features", labelCol="_target", predictionCol="_prediction", probabilityCol="_probability",
                                     rawPredictionCol="_raw", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
-    return _fit(df, label_col, features, forest, lambda c, n: c)
+
+    def fit(training: DataFrame, model: TrainedModel) -> TrainedModel:
+        numeric = [c for c in model.features if c not in model.text_features]
+        lows = dict(zip(numeric, _fills(training, numeric)))
+        training = training.select(*[F.nanvl(q(c), F.lit(None).cast("double")).alias(c) for c in model.features], "_target")
+        stages = [*_filled(model, [f"CAST({lows.get(c, 0.0)!r} AS DOUBLE)" for c in model.features]), forest,
+                  IndexToString(inputCol="_prediction", outputCol="predicted_label", labels=model.labels)]
+        model.pipeline = Pipeline(stages=stages).fit(training)
+        return model
+
+    return _fit(df, label_col, features, fit)
 
 
 def train_boosted(df: DataFrame, label_col: str = "label", features: list[str] | None = None, rounds: int = 100, depth: int = 6,
-                  step: float = 0.3, seed: int = 42, parallelism: int = 4) -> TrainedModel:
-    """Gradient-boosted trees; with more than two labels one model per label against the rest. Missing values as in
-    :func:`train_forest`."""
-    boosted = GBTClassifier(featuresCol="_features", labelCol="_target", predictionCol="_prediction", maxIter=rounds, maxDepth=depth,
-                            stepSize=step, seed=seed, cacheNodeIds=True)
-    many = OneVsRest(classifier=boosted, featuresCol="_features", labelCol="_target", predictionCol="_prediction", parallelism=parallelism)
-    return _fit(df, label_col, features, boosted, lambda c, n: many if n > 2 else c)
+                  step: float = 0.3) -> TrainedModel:
+    """Gradient-boosted trees for any number of labels in one model (see ``boosting``). A missing value goes to the side of
+    each split that suits it; infinities are values. Text features as in :func:`train_forest`."""
+    def fit(training: DataFrame, model: TrainedModel) -> TrainedModel:
+        model.pipeline = Pipeline(stages=_filled(model, ["CAST('NaN' AS DOUBLE)"] * len(model.features))).fit(training)
+        rows = model.pipeline.transform(training).select(vector_to_array("_features").alias("values"), q("_target").cast("int").alias("target"))
+        model.boosted = boosting.train(rows, len(model.labels), len(model.features), rounds, depth, step)
+        return model
+
+    return _fit(df, label_col, features, fit)
+
+
+def with_boosted(model: TrainedModel, df: DataFrame) -> DataFrame:
+    """The prepared rows with ``_raw``, the score of each label, ``_prediction`` and ``predicted_label``."""
+    trees = model.boosted  # travels with the function, which Spark broadcasts where it is large
+
+    @F.pandas_udf("array<double>")
+    def scores(values: pd.Series) -> pd.Series:
+        return pd.Series(list(trees.scores(np.stack(values.to_numpy())))) if len(values) else pd.Series([], dtype=object)
+
+    scored = df.withColumn("_raw", scores(vector_to_array("_features")))
+    best = F.array_position("_raw", F.array_max("_raw")).cast("int")
+    return scored.withColumn("_prediction", (best - 1).cast("double")).withColumn("predicted_label", F.get(F.array(*[F.lit(c) for c in model.labels]), best - 1))
 
 
 def train_and_hold_out(df: DataFrame, train, label_col: str = "label", key=None, ratio: float = 0.8, seed: int = 42, **options
@@ -151,20 +197,32 @@ def train_and_hold_out(df: DataFrame, train, label_col: str = "label", key=None,
 
 
 def save_model(model: TrainedModel, path: str) -> str:
-    """Writes the pipeline and, beside it, its features and labels, the labels also as a mapping text."""
+    """Writes the pipeline and, beside it, its features and labels, the labels also as a mapping text, the codes of text
+    features, and the trees of a boosted model."""
     spark = SparkSession.active()
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    about = [(model.label_col, model.features, model.text_features, model.labels)]
-    (local_table(spark, about, "label_col string, features array<string>, text_features array<string>, labels array<string>")
+    for i, c in enumerate(model.text_features):
+        model.codes[c][0].write.mode("overwrite").parquet(f"{path}/codes/{i}")
+    if model.boosted:
+        model.boosted.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+    about = [(model.label_col, model.features, model.text_features, model.labels, model.boosted is not None)]
+    (local_table(spark, about, "label_col string, features array<string>, text_features array<string>, labels array<string>, boosted boolean")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/about"))
     write_mapping(model.labels, f"{path}/mapping")
     return path
 
 
 def load_model(path: str) -> TrainedModel:
-    about = SparkSession.active().read.parquet(f"{path}/about").first()
+    read = SparkSession.active().read
+    about = read.parquet(f"{path}/about").first()
+    codes = {}
+    for i, c in enumerate(about["text_features"]):
+        table = read.parquet(f"{path}/codes/{i}")
+        small, rows = small_table(table, MAX_CATEGORIES)
+        codes[c] = (small, len(rows)) if rows is not None else (table, table.count())
+    boosted = boosting.Boosted.of_table(read.parquet(f"{path}/trees"), len(about["labels"])) if about["boosted"] else None
     return TrainedModel(PipelineModel.load(f"{path}/pipeline"), list(about["features"]), list(about["text_features"]),
-                        list(about["labels"]), about["label_col"])
+                        list(about["labels"]), about["label_col"], codes, boosted)
 
 
 def mapping_lines(labels: list[str]) -> list[str]:
@@ -186,9 +244,9 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feature_importance(model: TrainedModel) -> DataFrame:
-    """``(feature, importance_pct)``, largest first."""
-    parts = model.classifier.models if hasattr(model.classifier, "models") else [model.classifier]
-    rows = [(c, 100 * sum(float(p.featureImportances[i]) for p in parts) / len(parts)) for i, c in enumerate(model.features)]
+    """``(feature, importance_pct)``, largest first: the forest's impurity importance, or the mean gain of boosted splits."""
+    found = model.boosted.importance(len(model.features)) if model.boosted else model.classifier.featureImportances.toArray()
+    rows = [(c, 100 * float(x)) for c, x in zip(model.features, found)]
     return local_table(SparkSession.active(), rows, "feature string, importance_pct double").orderBy(F.desc("importance_pct"), "feature")
 
 
@@ -203,7 +261,10 @@ def _assembled(model: TrainedModel, df: DataFrame) -> DataFrame:
     carried = {c: f"_carry{i}" for i, c in enumerate(df.columns)}
     have = set(df.columns)
     inputs = [(q(c) if c in have else F.lit(0)).cast("string" if c in model.text_features else "double").alias(c) for c in model.features]
-    return model.pipeline.transform(df.select(*inputs, *[q(c).alias(n) for c, n in carried.items()]))
+    coded = _with_codes(df.select(*inputs, *[q(c).alias(n) for c, n in carried.items()]), model.codes)
+    numbers = [F.nanvl(q(c), F.lit(None).cast("double")).alias(c) for c in model.features]
+    prepared = model.pipeline.transform(coded.select(*numbers, *carried.values()))
+    return with_boosted(model, prepared) if model.boosted else prepared
 
 
 def score_batch(model: TrainedModel, df: DataFrame) -> DataFrame:
