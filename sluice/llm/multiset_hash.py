@@ -177,12 +177,12 @@ def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(ids.is_null()), ~ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1).to_numpy(zero_copy_only=False)
 
 
-def _first_keys(plain: DataFrame, ranges) -> dict[int, tuple]:
+def _first_keys(plain: DataFrame, ranges: Ranges) -> dict[int, tuple]:
     """The first key of every range that has rows."""
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             null, key, h = _keys(batch)
-            of = ranges.value.of(null, key, h)
+            of = ranges.of(null, key, h)
             order = np.lexsort((h, key, null, of))
             first = order[run_starts(of[order])]
             yield pa.RecordBatch.from_arrays([pa.array(of[first].astype(np.int32)), pa.array(null[first]), pa.array(key[first]), pa.array(h[first])],
@@ -192,11 +192,10 @@ def _first_keys(plain: DataFrame, ranges) -> dict[int, tuple]:
     return {r[0]: tuple(r[1]) for r in found.groupBy("bucket").agg(F.min(F.struct("nul", "key", "h"))).collect()}
 
 
-def _dealt(plain: DataFrame, ranges, firsts: dict[int, tuple]) -> DataFrame:
+def _dealt(plain: DataFrame, ranges: Ranges, firsts: dict[int, tuple]) -> DataFrame:
     """Rows with their range; equal rows of a batch once, with their number; first rows also as guests of the range before."""
     order = sorted(firsts)
     before = {firsts[b]: order[i - 1] for i, b in enumerate(order)}
-    hosts = plain.sparkSession.sparkContext.broadcast(before)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,8 +203,8 @@ def _dealt(plain: DataFrame, ranges, firsts: dict[int, tuple]) -> DataFrame:
             order = np.lexsort((h, key, null))
             cuts = run_starts(null[order], key[order], h[order])
             rows, n = order[cuts], np.diff(np.append(cuts, len(order)))
-            of = ranges.value.of(null[rows], key[rows], h[rows])
-            guests = [(i, host) for i, k in enumerate(zip(null[rows].tolist(), key[rows].tolist(), h[rows].tolist())) if (host := hosts.value.get(k)) is not None]
+            of = ranges.of(null[rows], key[rows], h[rows])
+            guests = [(i, host) for i, k in enumerate(zip(null[rows].tolist(), key[rows].tolist(), h[rows].tolist())) if (host := before.get(k)) is not None]
             picked = np.concatenate([np.arange(len(rows)), np.array([i for i, _ in guests], np.int64)])
             at = rows[picked]
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +262,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = min(MAX_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // RANGE_BYTES)))
     count = 4 * parts
     ids = plain.agg(F.percentile_approx("id", [i / count for i in range(1, count)], max(10_000, 4 * count))).first()[0] if known else None
-    ranges = spark.sparkContext.broadcast(Ranges(ids or [], max(1, -(-count * (n - known) // max(1, n)))))
+    ranges = Ranges(ids or [], max(1, -(-count * (n - known) // max(1, n))))
     hashed = plain.withColumn("h", F.xxhash64("text"))
     dealt = _dealt(hashed, ranges, _first_keys(hashed, ranges))
     sorted_ = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", "nul", "key", "h")
