@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from sluice.functions import class_of, classify_value, dtypes, numeric, q, safe_name
 from sluice.operators import balance, columns, explain, models, profile, repair, rules, sampling, setops
@@ -608,22 +608,28 @@ def adasyn_weights(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-# Labels that are steps of one feature, beside a feature that says nothing and has missing values: a tree model of the
-# usual size must predict them exactly, whatever it draws.
-STEPPED = """
-SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS step, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(1 AS DOUBLE) END AS gap,
-  CASE WHEN c_nationkey < 9 THEN 'A' WHEN c_nationkey < 17 OR {two} THEN 'N' ELSE 'R' END AS label
-FROM {customer}
+# Line items labelled by how many of three conditions hold, each on a feature of its own, beside two features that say
+# nothing, one of them with missing values. No single feature tells the labels apart; a model of the usual size that uses
+# all three predicts them exactly, on rows it has not seen, too.
+LABELLED = """
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS item, l_discount AS discount, l_tax AS tax, CAST(l_linenumber AS DOUBLE) AS line,
+  l_extendedprice AS price, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_quantity END AS quantity,
+  CASE CAST(l_discount > 0.055 AS INT) + CAST(l_tax > 0.045 AS INT) + CAST(l_linenumber > 3 AS INT) WHEN 3 THEN 'R' WHEN 2 THEN 'N' ELSE 'A' END AS label
+FROM {lineitem}
 """
-STEP_FEATURES = ["step", "gap"]
+FEATURES = ["discount", "tax", "line", "price", "quantity"]
 
 
-def stepped(spark: SparkSession, sf: str, labels: int = 3) -> DataFrame:
-    return spark.sql(STEPPED.replace("{two}", str(labels == 2).lower()), customer=table(spark, sf, "customer"))
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(LABELLED, lineitem=table(spark, sf, "lineitem"))
 
 
 def _forest(spark: SparkSession, sf: str):
-    return models.train_forest(stepped(spark, sf), features=STEP_FEATURES)
+    return models.train_forest(labelled(spark, sf), features=FEATURES)
+
+
+def _boosted(spark: SparkSession, sf: str):
+    return models.train_boosted(labelled(spark, sf), features=FEATURES)
 
 
 def label_mapping(spark, sf):
@@ -640,31 +646,51 @@ def encode_features(spark, sf):
 
 
 def forest_predictions(spark, sf):
-    df = stepped(spark, sf)
-    return models.score_batch(_forest(spark, sf), df)
+    """All rows by a model that has seen four fifths of them."""
+    df = labelled(spark, sf)
+    model, _ = models.train_and_hold_out(df, models.train_forest, features=FEATURES)
+    return models.score_batch(model, df)
 
 
 def boosted_predictions(spark, sf):
-    df = stepped(spark, sf, labels=2)
-    return models.score_batch(models.train_boosted(df, features=STEP_FEATURES), df)
+    """All rows by a model of three labels that has seen four fifths of them."""
+    df = labelled(spark, sf)
+    model, _ = models.train_and_hold_out(df, models.train_boosted, features=FEATURES)
+    return models.score_batch(model, df)
+
+
+def hold_out_counts(spark, sf):
+    """What a saved and loaded boosted model says about the rows that it was not trained on."""
+    model, _ = models.train_and_hold_out(labelled(spark, sf), models.train_boosted, features=FEATURES, rounds=20)
+    saved = models.load_model(models.save_model(model, scratch_path(spark, "boosted")))
+    test = sampling.stratified_split(labelled(spark, sf), 0.8, "label", None, 42).where(q("split") == "test").drop("split")
+    return models.score_batch(saved, test).groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def feature_importance(spark, sf):
-    return models.feature_importance(_forest(spark, sf)).withColumn("importance_pct", F.round("importance_pct", 6))
+    """Whether each feature matters, and the sum over all."""
+    found = models.feature_importance(_forest(spark, sf))
+    total = F.round(F.sum("importance_pct").over(W.partitionBy()), 6)
+    return found.select("feature", (q("importance_pct") >= 5).alias("matters"), total.alias("total_pct"))
 
 
 def top_k_features(spark, sf):
-    return profile.top_k(feature_importance(spark, sf), "importance_pct", 1, "feature")
+    return profile.top_k(models.feature_importance(_forest(spark, sf)), "importance_pct", 3, "feature").select("feature")
+
+
+def boosted_importance(spark, sf):
+    found = models.feature_importance(models.train_boosted(labelled(spark, sf), features=FEATURES, rounds=20))
+    return found.select("feature", (q("importance_pct") >= 5).alias("matters"))
 
 
 def prune_features(spark, sf):
-    return models.prune_features(stepped(spark, sf), feature_importance(spark, sf), 0.1)
+    return models.prune_features(labelled(spark, sf), models.feature_importance(_forest(spark, sf)), 5)
 
 
 def score_batch(spark, sf):
     """By a model that was saved and loaded, on a table with other spelling, without one feature, and without labels."""
     saved = models.load_model(models.save_model(_forest(spark, sf), scratch_path(spark, "model")))
-    batch = stepped(spark, sf).drop("gap", "label").withColumnRenamed("step", " Step ")
+    batch = labelled(spark, sf).drop("price", "label").withColumnRenamed("tax", " Tax ")
     return models.score_batch(saved, columns.normalize_names(batch))
 
 
@@ -672,8 +698,18 @@ def prediction_counts(spark, sf):
     return models.prediction_counts(score_batch(spark, sf))
 
 
+def _reasons(found: DataFrame) -> DataFrame:
+    """The reasons of each sentence by name; their order follows from the data."""
+    said = F.split_part("explanation", F.lit(" because: "), F.lit(1)), F.split_part("explanation", F.lit(" because: "), F.lit(2))
+    return found.select("predicted_label", "item", F.concat(said[0], F.lit(" because: "), F.array_join(F.array_sort(F.split(said[1], ", ")), ", ")).alias("explanation"))
+
+
 def explain_predictions(spark, sf):
-    return explain.explain_predictions(_forest(spark, sf), stepped(spark, sf), "c_custkey")
+    return _reasons(explain.explain_predictions(_forest(spark, sf), labelled(spark, sf), "item"))
+
+
+def explain_boosted(spark, sf):
+    return _reasons(explain.explain_predictions(_boosted(spark, sf), labelled(spark, sf), "item"))
 
 
 def decode_label(spark, sf):
@@ -736,7 +772,7 @@ QUERIES = [
     distinct_rows, compare_missing, compare_extra, compare_summary, union_positional, union_by_name, shuffle_rows, interleave_by,
     shuffle_by_label, stratified_split, split_counts, random_split, downscale, downscale_counts, class_split_counts, map_labels, knn_join,
     balance_targets, undersample, smote_counts, smote_rows, borderline_counts, adasyn_counts, borderline_candidates, adasyn_weights,
-    label_mapping, mapping_file, encode_features, forest_predictions, boosted_predictions, feature_importance, top_k_features, prune_features, score_batch,
+    label_mapping, mapping_file, encode_features, forest_predictions, boosted_predictions, hold_out_counts, feature_importance, boosted_importance, explain_boosted, top_k_features, prune_features, score_batch,
     prediction_counts, explain_predictions, confusion_matrix, classification_report, rule_prediction_counts, evaluate_guard,
 ]
 
