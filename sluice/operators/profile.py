@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import any_null, bucket_ratio, class_of, classify_value, columns_of, dtypes, is_inf, numeric, q, quoted
+from ..functions import any_null, bucket_ratio, class_of, classify_value, columns_of, digest_columns, dtypes, is_inf, numeric, q, quoted
 from ..session import local_table
 from .quantiles import exact_quantiles
 
@@ -276,8 +276,12 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Rows, and rows that repeat an earlier row; within each value of ``by`` if given."""
-    copies = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows, and rows that repeat an earlier row; within each value of ``by`` if given.
+
+    Rows are counted by their 128-bit digests; only those, the counts and the values of ``by`` are shuffled.
+    """
+    plain = df.select(*digest_columns(df), *([q(by)] if by else []))
+    copies = plain.groupBy(*plain.columns).agg(F.count(F.lit(1)).alias("_n"))
     grouped = copies.groupBy(q(by)) if by else copies.groupBy()
     return grouped.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
                        F.coalesce(F.sum(q("_n") - 1), F.lit(0)).alias("n_duplicates"))

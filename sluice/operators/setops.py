@@ -5,7 +5,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions import q
+from ..functions import DIGEST, digest_columns, q
+from ..session import small_table, written
 from .ranking import repeat_rows
 
 
@@ -21,8 +22,8 @@ def dedupe_rows(df: DataFrame, keys: list[str] | None = None, order: list[str] |
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    """The number of distinct rows."""
-    return df.dropDuplicates().agg(F.count(F.lit(1)).alias("n_distinct"))
+    """The number of distinct rows, by their 128-bit digests."""
+    return df.select(*digest_columns(df)).dropDuplicates().agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -30,22 +31,28 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Each distinct row with ``_a`` and ``_b``, how often it occurs in either table; copies are counted before the shuffle."""
-    left, right = as_text(a), as_text(b).toDF(*a.columns)
+    """Each digest of a row with ``_a`` and ``_b``, how often the row occurs in either table, compared as text and by column
+    position; copies are counted before the shuffle."""
+    left, right = (t.select(*digest_columns(t)) for t in (as_text(a), as_text(b)))
     both = (left.withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
             .union(right.withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))))
-    return both.groupBy(*[q(c) for c in left.columns]).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    return both.groupBy(*DIGEST).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
 
 
 def missing_rows(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
     """Rows of ``a`` that are not in ``b``, compared as text and by column position; NULLs are equal.
 
-    Distinct rows, or with ``multiset`` as many copies as ``a`` has more than ``b``.
+    Distinct rows, or with ``multiset`` as many copies as ``a`` has more than ``b``. Digests are compared first; whole rows
+    move only where their digests differ, or where these are too many to be broadcast.
     """
-    sides = _sides(a, b)
-    if not multiset:
-        return sides.where((q("_a") > 0) & (q("_b") == 0)).drop("_a", "_b")
-    return repeat_rows(sides.withColumn("_n", q("_a") - q("_b")).drop("_a", "_b"), "_n", "_copy").drop("_copy")
+    if len(a.columns) != len(b.columns):
+        raise ValueError(f"{len(a.columns)} columns cannot be compared with {len(b.columns)}")
+    more = _sides(a, b).where(q("_a") > q("_b") if multiset else (q("_a") > 0) & (q("_b") == 0))
+    wanted, _ = small_table(written(more.select(*DIGEST, (q("_a") - q("_b")).alias("_n")), "digests"))
+    text = as_text(a)
+    found = text.select("*", *digest_columns(text)).join(wanted, list(DIGEST)).dropDuplicates(list(DIGEST))
+    rows = found.select(*[q(c) for c in text.columns], "_n")
+    return repeat_rows(rows, "_n", "_copy").drop("_copy") if multiset else rows.drop("_n")
 
 
 def extra_rows(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:

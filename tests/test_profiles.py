@@ -109,6 +109,49 @@ def test_set_differences(spark, monkeypatch):
         setops.union_positional([a, b])
 
 
+def test_digests_tell_rows_apart(spark):
+    nan = float("nan")
+    rows = [(None, "a", 0.0), ("a", None, 0.0), ("a", "a", -0.0), ("a", "a", 0.0), ("aa", "", nan), ("", "aa", nan), ("", "aa", nan), (None, None, None), (None, None, None)]
+    df = local_table(spark, rows, "a string, b string, c double")
+    assert profile.duplicate_count(df).first() == (9, 3) and setops.distinct_rows(df).first()[0] == 6
+    by = {r["a"]: (r["n_rows"], r["n_duplicates"]) for r in profile.duplicate_count(df, "a").collect()}
+    assert by == {None: (3, 1), "a": (3, 1), "aa": (1, 0), "": (2, 1)}
+    kept = setops.missing_rows(df, df.limit(0)).collect()
+    assert len(kept) == 7  # as text, -0.0 and 0.0 differ
+    with pytest.raises(ValueError):
+        setops.missing_rows(df, df.select("a"))
+
+
+def test_counting_and_comparing_move_digests_only(spark):
+    """No column of the table passes an exchange, and a row costs less than 24 bytes of shuffle."""
+    df = spark.range(200_000).select(*[F.sha2(F.concat(F.lit(str(i)), q("id").cast("string")), 256).alias(f"c{i}") for i in range(6)])
+    for counted in (profile.duplicate_count(df), setops.distinct_rows(df), setops.compare_tables(df, df.limit(1000))):
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_d1" in plan and not any(f"hashpartitioning(c{i}" in plan for i in range(6))
+        assert all("c0" not in line for line in plan.splitlines() if "HashAggregate" in line)
+    before = {s.stageId() for s in _stages(spark)}
+    setops.distinct_rows(df).collect()
+    assert 0 < sum(s.shuffleWriteBytes() for s in _stages(spark) if s.stageId() not in before) < 24 * 200_000
+
+
+def _stages(spark):
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    some = jvm.java.util.ArrayList()
+    listed = spark.sparkContext._jsc.sc().statusStore().stageList(some, False, False, gateway.new_array(jvm.double, 0), some)
+    return [listed.apply(i) for i in range(listed.size())]
+
+
+def test_differences_with_many_rows(spark, monkeypatch):
+    """More differing rows than are broadcast, copies, and clashing order of columns."""
+    a = spark.range(3000).select((q("id") % 2500).alias("k"), F.concat(F.lit("v"), q("id") % 2500).alias("v"))
+    b = spark.range(1000).select(q("id").alias("x"), F.concat(F.lit("v"), q("id")).alias("y"))
+    want = {(str(i), f"v{i}") for i in range(1000, 2500)}
+    assert set(map(tuple, setops.missing_rows(a, b).collect())) == want
+    monkeypatch.setattr(setops, "small_table", lambda df: (df, None))
+    assert set(map(tuple, setops.missing_rows(a, b).collect())) == want
+    assert setops.missing_rows(a, b, multiset=True).count() == 1500 + 500 and setops.extra_rows(a, b).count() == 0
+
+
 def test_routing_takes_whole_groups(spark):
     df = local_table(spark, [("f1", "BENIGN"), ("f1", "DoS"), ("f2", "DoS"), ("f3", None)], "file string, label string")
     got = rules.route_by_group(df, "file", F.lower("label") == "benign").orderBy("file", "label")
