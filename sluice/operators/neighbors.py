@@ -1,10 +1,14 @@
 """Exact k nearest neighbours without comparing everything with everything.
 
-Base vectors are assigned to the nearest of a set of pivots. Each query first looks into its own pivot's cell, which
-bounds the distance of its k-th neighbour; the triangle inequality then rules out the cells that cannot hold a closer
-vector, and the query visits only the others. (The scheme is that of Lu, Shen, Chen, Ooi: "Efficient processing of k
-nearest neighbor joins using MapReduce", VLDB 2012.) A visit is an equi-join of query chunks and base blocks of bounded
-size, so no task ever holds a whole cell or group.
+Base vectors are put into the cells of a tree: a cell with more vectors than a block is split by pivots, some of its own
+vectors, each vector going to its nearest pivot, until all cells are small. The tree is a table with one row per split
+cell, its pivots and how near and far their vectors lie; vectors and queries meet it level by level in joins on the cell,
+in chunks of bounded size, and the driver sees only how many levels there are. Each group has a tree of its own.
+
+Each query first descends to the cell of its nearest pivots, which bounds the distance of its k-th neighbour. Then it goes
+down again into every cell that the triangle inequality and the planes between pivots do not rule out, and visits those
+(after Lu, Shen, Chen, Ooi: "Efficient processing of k nearest neighbor joins using MapReduce", VLDB 2012). A visit is an
+equi-join of query chunks and base blocks of bounded size; small cells share a task, so groups may be many.
 
 Equal vectors are collapsed first: of the copies of a base vector only the smallest k + 1 keys can be among anyone's k
 nearest (ties go to the smaller key), and copies of a query share one search.
@@ -16,15 +20,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
 
 from ..functions import dtypes, q
-from ..session import local_table, small_table, written
+from ..session import small_table, written
 from .ranking import COPY_BLOCK
 
 BLOCK_ROWS = 2048
-MAX_PIVOTS = 4096
-MAX_CELLS = 100_000
+FANOUT = 64
+CHUNK_ROWS = 8192
+MAX_LEVELS = 40
+CELL = ["_g", "_cell"]
 _WORK = 4_000_000
 
 
@@ -40,7 +45,8 @@ def knn_join(queries: DataFrame, base: DataFrame, key: str, features: str | list
     """``(<key>, rank, neighbor, distance, neighbor_label, neighbor_vector)``: the k nearest base rows of each query row.
 
     Euclidean distance; a row is not its own neighbour; ties by key. ``within`` looks for neighbours in the same group
-    only. Features must be numbers without NULL. ``key`` identifies a row in both tables.
+    only. Features must be numbers without NULL. ``key`` identifies a row in both tables. ``pivots`` is how many parts a
+    cell is split into at most.
     """
     lists = knn_lists(queries, base, key, features, k, within, label, block_rows, pivots)
     return (lists.select(q(key), F.posexplode("neighbors").alias("_i", "_n"))
@@ -86,56 +92,154 @@ def _distinct_base(points: DataFrame, k: int) -> DataFrame:
 
 def _search(queries: DataFrame, points: DataFrame, key_type: T.DataType, k: int, block_rows: int, pivots: int | None) -> DataFrame:
     """``(_id, _found)``: the k + 1 nearest keys of each distinct query, itself included."""
-    size = points.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_g").alias("groups"), F.max(F.size("_v")).alias("width")).first()
-    if size["groups"] > MAX_CELLS // 2:
-        raise ValueError("too many groups for a search within groups")
-    wanted = pivots or -(-size["n"] // block_rows)
-    wanted = max(1, min(wanted, MAX_PIVOTS, MAX_CELLS // (2 * max(size["groups"], 1)), _WORK // max(size["width"] or 1, 1)))
-    picked = points.select("_v", F.xxhash64("_v").alias("_h")).orderBy("_h").limit(wanted).collect()
-    centers = np.unique(np.array([r["_v"] for r in picked], dtype=float), axis=0)
-    placed = _distinct_base(points, k).withColumn("_p", _nearest(centers)(q("_v")))
-    placed = written(placed.select("_id", "_g", "_v", "_ks", "_ls", F.col("_p.cell").alias("_cell"),
-                                   F.col("_p.distance").alias("_r")), "placed")
-    cells = placed.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("n"), F.min("_r").alias("near"), F.max("_r").alias("far")).collect()
-    spans: dict[str, list[tuple]] = {}
-    for c in cells:
-        spans.setdefault(c["_g"], []).append((c["_cell"], c["near"], c["far"]))
-    blocks = local_table(queries.sparkSession, 
-        [(c["_g"], c["_cell"], -(-c["n"] // block_rows)) for c in cells], "_g string, _cell int, _blocks int")
-
+    placed, levels = _tree(_distinct_base(points, k), key_type, block_rows, max(2, pivots or FANOUT))
     schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_d", T.DoubleType()), T.StructField("_n", key_type),
                            T.StructField("_nl", T.StringType()), T.StructField("_nv", T.ArrayType(T.DoubleType()))])
-    visit = lambda visits: _visit(visits, placed, F.broadcast(blocks), schema, k, block_rows)
-    queries_schema = "_id string, _g string, _v array<double>, _cell int"
-    own = queries.select("_id", "_g", "_v").mapInPandas(_own_cell(centers, spans), queries_schema)
+    visit = lambda visits: _visit(visits, placed, schema, k, block_rows)
+    own = queries.select("_id", "_g", "_v", F.lit("").alias("_cell"))
+    for level in levels:
+        own = _moved(own, level, _descend, "_id string, _g string, _v array<double>, _cell string")
     near = visit(own)
-    if len(cells) > len(spans):
+    if levels:
         near = written(near, "near")
         bound = near.groupBy("_id").agg(F.count(F.lit(1)).alias("_c"), F.max("_d").alias("_far"))
-        bounded = queries.join(bound, "_id", "left").select(
-            "_id", "_g", "_v", F.when(q("_c") > k, q("_far")).otherwise(float("inf")).alias("_bound"))
-        near = near.unionByName(visit(bounded.mapInPandas(_other_cells(centers, spans), queries_schema)))
+        bounded = own.withColumnRenamed("_cell", "_own").join(bound, "_id", "left").select(
+            "_id", "_g", "_v", F.when(q("_c") > k, q("_far")).otherwise(float("inf")).alias("_bound"), "_own", F.lit("").alias("_cell"))
+        for level in levels:
+            bounded = _moved(bounded, level, _spread, "_id string, _g string, _v array<double>, _bound double, _own string, _cell string")
+        near = near.unionByName(visit(bounded.where(q("_cell") != q("_own")).select("_id", "_g", "_v", "_cell")))
     best = F.row_number().over(W.partitionBy("_id").orderBy("_d", "_n"))
     entry = F.struct(q("_d").alias("distance"), q("_n").alias("key"), q("_nl").alias("label"), q("_nv").alias("vector"))
     return (near.withColumn("_r", best).where(q("_r") <= k + 1)
             .groupBy("_id").agg(F.sort_array(F.collect_list(entry)).alias("_found")))
 
 
-def _visit(visits: DataFrame, placed: DataFrame, blocks: DataFrame, schema: T.StructType, k: int, block_rows: int) -> DataFrame:
-    """Lets each (query, cell) pair see the cell's vectors, as an equi-join of bounded chunks and blocks."""
+def _at(rows: DataFrame, nodes: DataFrame, step: Callable, schema: str | T.StructType) -> DataFrame:
+    """``step(rows, node)`` for the rows in each cell that has a row in ``nodes``, some ``CHUNK_ROWS`` at a time."""
+    counts = rows.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("_chunks"))
+    met = written(nodes.join(counts, CELL), "nodes")
+    left = rows.join(met.select(*CELL, "_chunks"), CELL).withColumn("_chunk", F.pmod(F.xxhash64("_id"), q("_chunks")).cast("int")).drop("_chunks")
+    right = met.withColumn("_chunk", F.explode(F.sequence(F.lit(0), q("_chunks") - 1)))
+    return left.groupBy(*CELL, "_chunk").cogroup(right.groupBy(*CELL, "_chunk")).applyInPandas(step, schema)
+
+
+def _moved(rows: DataFrame, level: DataFrame, step: Callable, schema: str) -> DataFrame:
+    """Rows in split cells go on to parts of them, all others stay."""
+    stay = rows.join(level.select(*CELL), CELL, "left_anti")
+    return written(_at(rows, level, step, schema).unionByName(stay), "moved")
+
+
+def _tree(points: DataFrame, key_type: T.DataType, block_rows: int, fanout: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The base with its cells, and for each level its split cells with ``_pivots``, ``_children``, ``_near`` and ``_far``.
+
+    Pivots are the vectors of a cell with the smallest hashes, twice as many as blocks are needed, but no more than
+    ``fanout``. They are distinct, so every split leaves smaller cells.
+    """
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_g", T.StringType()), T.StructField("_v", T.ArrayType(T.DoubleType())),
+                           T.StructField("_ks", T.ArrayType(key_type)), T.StructField("_ls", T.ArrayType(T.StringType())), T.StructField("_cell", T.StringType()),
+                           T.StructField("_parent", T.StringType()), T.StructField("_child", T.IntegerType()), T.StructField("_reach", T.DoubleType())])
+    rest = written(points.withColumn("_cell", F.lit("")), "base")
+    columns, done, levels = rest.columns, [], []
+    while True:
+        large = written(rest.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n")).where(q("_n") > block_rows), "large")
+        if len(levels) == MAX_LEVELS or large.isEmpty():
+            done.append(rest)
+            break
+        done.append(rest.join(large, CELL, "left_anti"))
+        split = rest.join(large, CELL)
+        first = F.row_number().over(W.partitionBy(*CELL).orderBy(F.xxhash64("_v"), "_id"))
+        picked = split.select(*CELL, "_id", "_v", "_n").withColumn("_r", first).where(q("_r") <= fanout).where(q("_r") <= F.greatest(F.lit(2), F.ceil(2 * q("_n") / block_rows)))
+        nodes = written(picked.groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("_r", "_v")))["_v"].alias("_pivots")), "pivots")
+        assigned = written(_at(split.drop("_n"), nodes, _assign, schema), "assigned")
+        spans = assigned.groupBy("_g", q("_parent").alias("_cell"), "_child").agg(F.min("_reach").alias("_near"), F.max("_reach").alias("_far"))
+        parts = spans.groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("_child", "_near", "_far"))).alias("_parts"))
+        levels.append(written(nodes.join(parts, CELL).select(*CELL, "_pivots", q("_parts")["_child"].alias("_children"), q("_parts")["_near"].alias("_near"), q("_parts")["_far"].alias("_far")), "level"))
+        rest = assigned.select(*columns)
+    placed = done[0]
+    for part in done[1:]:
+        placed = placed.unionByName(part)
+    return placed, levels
+
+
+def _below(cell: str, child: np.ndarray) -> list[str]:
+    return [f"{cell}.{c}" for c in child.tolist()]
+
+
+def _assign(rows: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
+    """Each vector of a cell with its nearest pivot."""
+    if not len(rows) or not len(node):
+        return pd.DataFrame({c: [] for c in ("_id", "_g", "_v", "_ks", "_ls", "_cell", "_parent", "_child", "_reach")})
+    centers, child, reach = np.stack(node["_pivots"].iloc[0]).astype(float), [], []
+    for _, d in _distances(_matrix(rows["_v"]), centers):
+        child.append(d.argmin(1))
+        reach.append(d.min(1))
+    child, cell = np.concatenate(child), rows["_cell"].iloc[0]
+    return rows[["_id", "_g", "_v", "_ks", "_ls"]].assign(_cell=_below(cell, child), _parent=cell, _child=child.astype("int32"), _reach=np.concatenate(reach))
+
+
+def _descend(rows: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
+    """Each query goes to the part with the nearest pivot that has vectors; every pivot has itself."""
+    if not len(rows) or not len(node):
+        return pd.DataFrame({c: [] for c in ("_id", "_g", "_v", "_cell")})
+    ids = np.asarray(node["_children"].iloc[0])
+    centers = np.stack(node["_pivots"].iloc[0]).astype(float)[ids]
+    child = np.concatenate([ids[d.argmin(1)] for _, d in _distances(_matrix(rows["_v"]), centers)])
+    return rows[["_id", "_g", "_v"]].assign(_cell=_below(rows["_cell"].iloc[0], child))
+
+
+def _spread(rows: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
+    """Each query goes to every part that could hold a vector within its bound."""
+    columns = ["_id", "_g", "_v", "_bound", "_own"]
+    if not len(rows) or not len(node):
+        return pd.DataFrame({c: [] for c in (*columns, "_cell")})
+    ids, near, far = (np.asarray(node[c].iloc[0]) for c in ("_children", "_near", "_far"))
+    centers = np.stack(node["_pivots"].iloc[0]).astype(float)[ids]
+    gaps = np.sqrt(((centers[:, None, :] - centers[None, :, :]) ** 2).sum(-1))
+    bounds, at, to = rows["_bound"].to_numpy(), [], []
+    for start, d in _distances(_matrix(rows["_v"]), centers):
+        home = d.argmin(1)
+        least = np.maximum(np.maximum(d - far, near - d), 0)
+        # Vectors of another part lie beyond the plane between its pivot and the query's nearest pivot.
+        gap = gaps[home]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.where(gap > 0, (d ** 2 - d.min(1)[:, None] ** 2) / (2 * gap), 0)
+        i, j = np.nonzero(np.maximum(least, plane) - 1e-9 * (1 + d) <= bounds[start:start + len(d), None])
+        at.append(start + i)
+        to.append(ids[j])
+    found = rows.iloc[np.concatenate(at)][columns]
+    return found.assign(_cell=_below(rows["_cell"].iloc[0], np.concatenate(to)))
+
+
+def _visit(visits: DataFrame, placed: DataFrame, schema: T.StructType, k: int, block_rows: int) -> DataFrame:
+    """Lets each (query, cell) pair see the cell's vectors, as an equi-join of bounded chunks and blocks.
+
+    A cell that needs one chunk and one block shares a bucket with others.
+    """
     visits = written(visits, "visits")
-    chunks = visits.groupBy("_g", "_cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_chunks"))
-    # One row per cell, hence at most MAX_CELLS.
-    sides = F.broadcast(chunks.join(blocks, ["_g", "_cell"]))
+    parts = lambda df, name: df.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+    sides = written(parts(visits, "_chunks").join(parts(placed, "_blocks"), CELL), "sides")
+    buckets = max(1, -(-visits.count() // block_rows))
     chunk = F.pmod(F.xxhash64("_id"), q("_chunks")).cast("int")
     block = F.pmod(F.xxhash64("_id"), q("_blocks")).cast("int")
     span = lambda c: F.sequence(F.lit(0), q(c) - 1)
-    tile = ["_g", "_cell", "_chunk", "_block"]
-    left = visits.join(sides, ["_g", "_cell"]).withColumn("_chunk", chunk).withColumn("_block", F.explode(span("_blocks")))
-    right = placed.join(sides, ["_g", "_cell"]).withColumn("_block", block).withColumn("_chunk", F.explode(span("_chunks")))
-    return (left.select(*tile, "_id", "_v").groupBy(*tile)
-            .cogroup(right.select(*tile, "_v", "_ks", "_ls").groupBy(*tile))
-            .applyInPandas(_tile(k), schema))
+    home = F.xxhash64(*CELL)
+    tile = F.when((q("_chunks") == 1) & (q("_blocks") == 1), F.pmod(home, F.lit(buckets)).cast("string")).otherwise(F.concat_ws(":", home, "_chunk", "_block"))
+    left = visits.join(sides, CELL).withColumn("_chunk", chunk).withColumn("_block", F.explode(span("_blocks"))).withColumn("_tile", tile)
+    right = placed.join(sides, CELL).withColumn("_block", block).withColumn("_chunk", F.explode(span("_chunks"))).withColumn("_tile", tile)
+    return (left.select("_tile", *CELL, "_id", "_v").groupBy("_tile")
+            .cogroup(right.select("_tile", *CELL, "_v", "_ks", "_ls").groupBy("_tile"))
+            .applyInPandas(_cells(k), schema))
+
+
+def _cells(k: int) -> Callable:
+    """:func:`_tile` for each cell of a bucket."""
+    tile = _tile(k)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        asked, held = left.groupby(CELL, sort=False).indices, right.groupby(CELL, sort=False).indices
+        found = [tile(left.iloc[asked[c]], right.iloc[held[c]]) for c in asked if c in held]
+        return pd.concat(found, ignore_index=True) if found else tile(left.iloc[:0], right)
+    return compare
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -149,67 +253,6 @@ def _distances(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, np.ndarray]]
         yield start, np.sqrt(((a[start:start + step, None, :] - b[None, :, :]) ** 2).sum(-1))
 
 
-def _nearest(centers: np.ndarray) -> Callable:
-    @pandas_udf("cell int, distance double")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        cell, reach = [], []
-        for _, d in _distances(_matrix(vectors), centers):
-            cell.extend(d.argmin(1))
-            reach.extend(d.min(1))
-        return pd.DataFrame({"cell": np.array(cell, dtype="int32"), "distance": reach})
-    return nearest
-
-
-def _own_cell(centers: np.ndarray, spans: dict) -> Callable:
-    """Names for each query the nearest cell that has vectors of its group; queries without any are dropped."""
-    usable = {g: np.array([c for c, _, _ in v]) for g, v in spans.items()}
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch[batch["_g"].isin(usable)].reset_index(drop=True)
-            groups, cells = batch["_g"].to_numpy(), np.zeros(len(batch), dtype="int32")
-            for start, d in _distances(_matrix(batch["_v"]), centers):
-                for i, row in enumerate(d, start):
-                    ids = usable[groups[i]]
-                    cells[i] = ids[row[ids].argmin()]
-            yield batch.assign(_cell=cells)
-    return assign
-
-
-def _other_cells(centers: np.ndarray, spans: dict) -> Callable:
-    """Names for each query every further cell that could hold a vector within its bound."""
-    table = {g: (np.array([s[0] for s in v]), np.array([s[1] for s in v]), np.array([s[2] for s in v])) for g, v in spans.items()}
-    gaps: dict[int, np.ndarray] = {}
-
-    def gap_from(home: int) -> np.ndarray:
-        if home not in gaps:
-            gaps[home] = np.sqrt(((centers - centers[home]) ** 2).sum(-1))
-        return gaps[home]
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch[batch["_g"].isin(table)].reset_index(drop=True)
-            groups, bounds = batch["_g"].to_numpy(), batch["_bound"].to_numpy()
-            rows, cells = [], []
-            for start, d in _distances(_matrix(batch["_v"]), centers):
-                for i, row in enumerate(d, start):
-                    ids, near, far = table[groups[i]]
-                    at = row[ids]
-                    own = ids[at.argmin()]
-                    least = np.maximum(np.maximum(at - far, near - at), 0)
-                    # Vectors of another cell lie beyond the plane between its pivot and the query's nearest pivot.
-                    home = row.argmin()
-                    gap = gap_from(int(home))[ids]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        plane = np.where(gap > 0, (at ** 2 - row[home] ** 2) / (2 * gap), 0)
-                    slack = 1e-9 * (1 + at)
-                    hit = ids[(np.maximum(least, plane) - slack <= bounds[i]) & (ids != own)]
-                    rows.extend([i] * len(hit))
-                    cells.extend(hit)
-            yield batch.iloc[rows][["_id", "_g", "_v"]].assign(_cell=np.array(cells, dtype="int32"))
-    return assign
-
-
 def _tile(k: int) -> Callable:
     """The k + 1 nearest keys within one chunk x block.
 

@@ -42,6 +42,35 @@ def test_few_neighbours(spark):
     assert {r["id"]: [n["key"] for n in r["neighbors"]] for r in got.collect()} == {1: [2], 2: [1], 3: []}
 
 
+@pytest.mark.parametrize("fanout,block_rows", [(4, 20), (64, 16)])
+def test_trees_of_several_levels(spark, monkeypatch, fanout, block_rows):
+    """Cells are split until they are small, also where one is far larger than the others, and nothing is lost."""
+    monkeypatch.setattr(neighbors, "CHUNK_ROWS", 30)
+    df = points(spark, 400, 100, 7)
+    df = df.select("id", "label", *[F.round(q(c) * 10).alias(c) for c in "xyz"])  # whole numbers, for exact ties
+    base = neighbors._distinct_base(df.select(q("id").alias("_k"), q("label").alias("_l"), F.lit("").alias("_g"), neighbors.vector_of(df, ["x", "y", "z"]).alias("_v")), 4)
+    placed, levels = neighbors._tree(base, base.schema["_ks"].dataType.elementType, block_rows, fanout)
+    sizes = {r["_cell"]: r["count"] for r in placed.groupBy("_cell").count().collect()}
+    assert max(sizes.values()) <= block_rows and sum(sizes.values()) == base.count() and len(levels) >= (2 if fanout < 64 else 1)
+    got = neighbors.knn_join(df, df, "id", ["x", "y", "z"], 4, None, block_rows=block_rows, pivots=fanout)
+    assert {(r["id"], r["rank"], r["neighbor"], round(r["distance"], 9)) for r in got.collect()} == brute(df, 4, None)
+
+
+def test_queries_outside_the_base(spark):
+    """Queries of other rows and of groups that the base does not have."""
+    df = points(spark, 300, 10, 3)
+    asked = df.where("id % 10 = 0").withColumn("label", F.when(q("id") % 20 == 0, "none").otherwise(q("label")))
+    got = neighbors.knn_lists(asked, df.where("id % 10 <> 0"), "id", ["x", "y", "z"], 3, "label", block_rows=10, pivots=4).collect()
+    assert len(got) == 30 and all(len(r["neighbors"]) == (0 if r["label"] == "none" else 3) for r in got)
+
+
+def test_a_hundred_thousand_groups(spark):
+    df = spark.range(300_000).select("id", F.floor(q("id") / 3).alias("label"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("x"))
+    got = neighbors.knn_lists(df, df, "id", ["x"], 2, "label")
+    found = got.select(F.size("neighbors").alias("n"), F.forall("neighbors", lambda n: F.floor(n["key"] / 3) == q("label")).alias("same"))
+    assert found.groupBy("n", "same").count().collect() == [(2, True, 300_000)]
+
+
 @pytest.mark.parametrize("method", ["smote", "borderline", "adasyn"])
 def test_oversampling_meets_targets(spark, method, monkeypatch):
     from sluice.operators import ranking
