@@ -13,8 +13,8 @@ Terms are whole words and the first 4, 5 or 6 bytes of longer ones, which catche
    ``K n exp(-rate s)`` is below ``E_LIMIT``; the excess of significant segments is summed and turned into a probability
    by a logistic curve fitted to the sample.
 
-The model is a table of at most ``MAX_TERMS`` terms and a handful of numbers; these bounds and the sample's are parameters of the
-fit. Everything else covers all documents and whole texts.
+The model is a table of terms of the sample's toxic documents and a handful of numbers; the size of the sample is a parameter
+of the fit. Everything else covers all documents and whole texts.
 """
 from __future__ import annotations
 
@@ -29,7 +29,6 @@ from .folds import held_out, labelled_sample
 from .words import ALNUM, Words, lower_ascii, mix, order_pairs, pieces, run_starts, word_hashes, words_of
 
 FIT_ROWS = 12_000
-MAX_TERMS = 100_000
 MIN_DOCS = 3
 Z_LIMIT = 3.0
 MIN_ODDS = 2.0
@@ -62,8 +61,8 @@ def _documents_with(names: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarr
     return h[one], r[one]
 
 
-def _toxic_terms(sample: DataFrame, min_docs: int, max_terms: int) -> dict[int, int]:
-    """Terms of the sample's toxic documents, with the number of these."""
+def _toxic_terms(sample: DataFrame, min_docs: int) -> dict[int, int]:
+    """Terms of the sample's toxic documents, with the number of these; the sample bounds them."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch.column(0)):
@@ -74,7 +73,7 @@ def _toxic_terms(sample: DataFrame, min_docs: int, max_terms: int) -> dict[int,
                 yield pa.RecordBatch.from_arrays([pa.array(h[runs].view(np.int64)), pa.array(np.diff(np.append(runs, len(h))))], names=["term", "n"])
 
     counted = sample.where("label = 1").select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return dict(counted.where(F.col("n") >= min_docs).orderBy(F.col("n").desc(), "term").limit(max_terms).collect())
+    return dict(counted.where(F.col("n") >= min_docs).collect())
 
 
 def _corpus_counts(docs: DataFrame, sample: DataFrame, text_col: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -123,24 +122,27 @@ class Model:
     slope: float = 1.0
 
     def segments(self, at: np.ndarray, scores: np.ndarray) -> list[tuple[int, int, float]]:
-        """All maximal scoring segments (first word, last word, score), given the words with terms and their scores."""
-        found: list[list] = []  # first, last, sum before, sum after
+        """All maximal scoring segments (first word, last word, score), given the words with terms and their scores.
+
+        Every segment knows the last one before it that begins at a smaller sum, so that a search skips what earlier
+        searches have passed; the whole scan takes time in proportion to the words with terms.
+        """
+        first, end, low, high, back = [], [], [], [], []
         total, last = 0.0, -1
         for position, score in zip(at.tolist(), scores.tolist()):
             before = total + self.other * (position - last - 1)
             total, last = before + score, position
-            first = position
-            low = before
-            while True:
-                j = len(found) - 1
-                while j >= 0 and found[j][2] >= low:
-                    j -= 1
-                if j < 0 or found[j][3] >= total:
-                    found.append([first, position, low, total])
-                    break
-                first, low = found[j][0], found[j][2]
-                del found[j:]
-        return [(a, b, high - low) for a, b, low, high in found]
+            begin, least, j = position, before, len(low) - 1
+            while j >= 0 and low[j] >= least:
+                j = back[j]
+            while j >= 0 and high[j] < total:
+                begin, least, smaller = first[j], low[j], back[j]
+                for kept in (first, end, low, high, back):
+                    del kept[j:]
+                j = smaller
+            for kept, value in ((first, begin), (end, position), (low, least), (high, total), (back, j)):
+                kept.append(value)
+        return [(a, b, y - x) for a, b, x, y in zip(first, end, low, high)]
 
     def evidence(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[tuple]]]:
         """Per row of a piece: the summed excess of significant segments, and these as (first byte, byte behind, score)."""
@@ -221,13 +223,12 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     return model
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS,
-           max_terms: int = MAX_TERMS) -> Model:
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Model:
     sample = labelled_sample(docs, labels, label, id_col, text_col, fit_rows)
     sizes = dict(sample.groupBy("label").count().collect())
     if not sizes.get(1) or not sizes.get(0):
         return Model(intercept=-2.0)
-    found = _toxic_terms(sample, MIN_DOCS, max_terms)
+    found = _toxic_terms(sample, MIN_DOCS)
     terms = np.sort(np.array(list(found), np.int64).view(np.uint64))
     toxic = np.array([found[int(t)] for t in terms.view(np.int64)], np.float64)
     everywhere, clean, words = _corpus_counts(docs, sample, text_col, terms)
