@@ -15,6 +15,7 @@ The documents must be a table scan, whose tasks are the same on every reading; `
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ from .words import mix
 
 #: Fixed value: the pattern that cuts text before the merges of the rank files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as the pattern has it, in runs that are too long for its search: what is left of such a run is one piece.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ROUNDS = 4
 
@@ -47,7 +50,19 @@ class Encoder:
 
     def __call__(self, text: str) -> np.ndarray:
         """The text's tokens and the end token."""
-        return np.append(self.encoding.encode_to_numpy(text), self.end).astype(self.kind)
+        return np.append(np.concatenate(list(self._parts(text))), self.end).astype(self.kind)
+
+    def _parts(self, text: str) -> Iterator[np.ndarray]:
+        """The tokens between long runs of white space and those of the runs. Of a run before something else the last sign
+        belongs to what follows."""
+        begin = 0
+        for run in LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            if begin < run.start():
+                yield self.encoding.encode_to_numpy(text[begin:run.start()])
+            yield np.array(self.encoding._encode_single_piece(text[run.start():end]))
+            begin = end
+        yield self.encoding.encode_to_numpy(text[begin:])
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -88,12 +103,13 @@ def _restored(squeezed: bytes, length: int, kind: np.dtype) -> bytes:
     return np.ascontiguousarray(planes.reshape(kind.itemsize, length).T).tobytes()
 
 
-def _sequences(docs: DataFrame, bases: dict[int, int], size: int, length: int, key: int, ranks_path: str) -> DataFrame:
+def _sequences(docs: DataFrame, bases: dict[int, tuple[int, int]], size: int, length: int, key: int, ranks_path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bases)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text = encoder(ranks_path)
-        number = shared.value.get(TaskContext.get().partitionId(), 0)
+        task = TaskContext.get().partitionId()
+        number, behind = shared.value.get(task, (None, None))
         waiting, held = [np.zeros(0, encode_text.kind)], 0
         begun: list[tuple[int, object]] = []  # where documents begin in what waits
         open_doc = None
@@ -101,6 +117,8 @@ def _sequences(docs: DataFrame, bases: dict[int, int], size: int, length: int, k
         def flush(whole: bool) -> pa.RecordBatch:
             nonlocal waiting, held, begun, number, open_doc
             count = held // length if not whole else -(-held // length)
+            if number + count > behind:
+                raise RuntimeError(f"task {task} has more text than when tasks were numbered; the scan was dealt out anew")
             stream = np.concatenate(waiting)
             tokens = np.full(count * length, encode_text.end, encode_text.kind)
             used = min(held, count * length)
@@ -123,6 +141,8 @@ def _sequences(docs: DataFrame, bases: dict[int, int], size: int, length: int, k
 
         kind = None
         for batch in batches:
+            if number is None and batch.num_rows:
+                raise RuntimeError(f"task {task} had no rows when tasks were numbered; the scan was dealt out anew")
             kind = batch.column(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
@@ -155,8 +175,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     bounds = sorted(tuple(r) for r in plain.select(F.col("id"), amount.alias("n"), F.spark_partition_id().alias("task")).groupBy("task").agg(F.sum("n"), F.count("id")).collect())
     bases, size = {}, 0
     for task, tokens, _ in bounds:
-        bases[task] = size
-        size += -(-tokens // length)
+        bases[task] = size, size - (-tokens // length)
+        size = bases[task][1]
     shards = max(1, -(-size // places_per_shard))
     stride = length * encoder(ranks_path).kind.itemsize
     shard = F.floor(F.col("place") / places_per_shard).cast("int")

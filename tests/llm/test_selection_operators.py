@@ -163,3 +163,22 @@ def test_training_order_decodes(spark, tmp_path):
 
 def test_training_order_of_nothing(spark, tmp_path):
     assert order.write_shards(empty(spark), str(tmp_path)).count() == 0
+
+
+def test_long_runs_are_encoded_like_short_ones(monkeypatch):
+    """Cutting out runs of white space changes no token, and a million of any sign can be encoded."""
+    import random
+    import re
+    rng, encode = random.Random(1), order.encoder(order.RANKS)
+    monkeypatch.setattr(order, "LONG_SPACE", re.compile(order.LONG_SPACE.pattern.replace("{1000,}", "{2,}")))
+    for _ in range(500):
+        text = "".join(rng.choice([" ", "  ", "\n", "\t", " \n", "a", "bc", "é", "!", "'s", "1", "\u3000", "\x1c", " x"]) for _ in range(rng.randrange(30)))
+        assert encode(text).tolist() == encode.encoding.encode_ordinary(text) + [encode.end]
+    monkeypatch.undo()
+    for sign in " a?\n\xa0é":
+        assert encode.encoding.decode(encode(sign * 1_000_000 + "x")[:-1].tolist()) == sign * 1_000_000 + "x"
+
+
+def test_tables_that_change_between_readings_are_refused(spark):
+    with pytest.raises(Exception, match="dealt out anew"):
+        order._sequences(documents(spark, ["some words of text"] * 5).select(order.F.col("doc_id").alias("id"), "text"), {}, 10, 8, 1, order.RANKS).collect()
