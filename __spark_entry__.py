@@ -98,6 +98,12 @@ def scan_typed(spark, sf):
     return read_table(spark, path, table(spark, sf, "lineitem").schema)
 
 
+def merge_parts(spark, sf):
+    """One file with one header, joined from ten parts, and read back."""
+    path = write_table(table(spark, sf, "lineitem"), scratch_path(spark, "whole") + "/lineitem.csv", partitions=10, single_file=True)
+    return read_table(spark, path, table(spark, sf, "lineitem").schema, fmt="csv")
+
+
 def scan_folder_counts(spark, sf):
     root = staged(spark, sf, ["customer", "supplier", "part"])
     df = read_table(spark, root, recursiveFileLookup=True, pathGlobFilter="*.csv", fmt="csv")
@@ -760,7 +766,7 @@ def evaluate_guard(spark, sf):
 
 
 QUERIES = [
-    scan_all_string, scan_typed, scan_folder_counts, scan_folder_by_name, unreadable_files, decode_label, split_xy, keep_labels, evaluate_report, merge_folder, header_inventory, schema_conformance, scan_pruned, normalize_nulls,
+    scan_all_string, scan_typed, merge_parts, scan_folder_counts, scan_folder_by_name, unreadable_files, decode_label, split_xy, keep_labels, evaluate_report, merge_folder, header_inventory, schema_conformance, scan_pruned, normalize_nulls,
     sink_roundtrip, sink_n_parts, bad_record_counts, bounded_parts, bounded_part_files, drop_columns, dedupe_columns, resolve_label,
     normalize_names, align_schema, align_report, incomplete_flag, safe_label, to_numeric, classify, encode_label, drop_constant_lowvar,
     drop_dominant, rule_non_negative, rule_port_range, rule_report, count_invalid, drop_invalid_rows, quarantine_rows, sentinel_status,

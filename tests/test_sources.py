@@ -1,3 +1,4 @@
+import os
 import time
 
 import pytest
@@ -128,3 +129,48 @@ def test_csv_keeps_spaces_breaks_and_empty_texts(spark, tmp_path):
     path = sources.write_table(df, str(tmp_path / "t"))
     back = sources.read_table(spark, path, df.schema, multiLine=True, nullValue="\0")
     assert [r[1] for r in back.orderBy("id").collect()] == values and back.columns == ["id", " Label"]
+
+
+@pytest.mark.parametrize("way", ["ranges", "store", "buffer"])
+def test_parts_are_joined_under_one_header(spark, tmp_path, monkeypatch, way):
+    """By tasks that copy ranges, by a store that can join, and through a buffer; no stage gets all rows in one task."""
+    from sluice.sources import writers
+    monkeypatch.setattr(writers, "COPY_BYTES", 1000)
+
+    class Joining:
+        """A store that can append files to one that is there."""
+        def __init__(self, system):
+            self.system = system
+
+        def hasPathCapability(self, path, name):
+            return name == "fs.capability.paths.concat"
+
+        def concat(self, first, rest):
+            with open(first.toUri().getPath(), "ab") as out:
+                for p in rest:
+                    out.write(open(p.toUri().getPath(), "rb").read())
+                    self.system.delete(p, False)
+            os.unlink(os.path.join(os.path.dirname(out.name), f".{os.path.basename(out.name)}.crc"))
+
+        def __getattr__(self, name):
+            return getattr(self.system, name)
+
+    if way != "ranges":
+        def join(session, system, hadoop, pieces, whole):
+            writers._joined(session, Joining(system) if way == "store" else system, [p for p, _ in pieces], whole)
+        monkeypatch.setattr(writers, "_copied", join)
+    df = spark.range(2000).select("id", F.concat(F.lit('a "b", '), q("id").cast("string"), F.when(q("id") % 7 == 0, "\nnext").otherwise("")).alias("x y,z"), F.lit(None).cast("string").alias("n"))
+    path = writers.merge_parts(df, f"{tmp_path}/with space/one.csv", parts=10)
+    with open(path, newline="") as file:
+        text = file.read()
+    assert text.count("x y,z") == 1 and text.startswith('id,"x y,z",n') and len(os.listdir(os.path.dirname(path))) <= 2
+    back = sources.read_table(spark, path, df.schema, fmt="csv", multiLine=True)
+    assert back.exceptAll(df).count() == 0 and back.count() == 2000
+    before = os.path.getsize(path)
+    writers.merge_parts(df, path, parts=3)
+    assert os.path.getsize(path) == before
+    assert sources.read_table(spark, writers.merge_parts(df.limit(0), path), df.schema, fmt="csv").count() == 0
+    lines = writers.merge_parts(df.select(q("id").cast("string")), f"{tmp_path}/ids.txt", "text", 5)
+    assert sorted(map(int, open(lines).read().split())) == list(range(2000))
+    with pytest.raises(ValueError):
+        writers.merge_parts(df, f"{tmp_path}/x", "parquet")
