@@ -1,10 +1,13 @@
-"""Class balancing: targets, undersampling, and oversampling by interpolation between neighbours."""
+"""Class balancing: targets, undersampling, and oversampling by interpolation between neighbours.
+
+What each label needs is a table that is joined to the rows, so labels may be many.
+"""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dtypes, is_numeric, q
-from ..session import small_table, written
+from ..session import local_table, small_table, written
 from .neighbors import knn_lists, vector_of
 from .ranking import repeat_rows, take_first
 
@@ -29,35 +32,46 @@ def undersample(df: DataFrame, targets: DataFrame, label_col: str = "label", key
     return taken.where(q("_taken")).drop("_taken").unionByName(df.where(q(label_col).isNull()))
 
 
-def _needs(df: DataFrame, targets: DataFrame, label_col: str) -> dict[str, tuple[int, int]]:
-    """label -> (rows, rows to add), for the labels below their target."""
-    rows = targets.where(q("target") > q("n")).select(q("label").cast("string"), "n", "target").collect()
-    return {r["label"]: (r["n"], r["target"] - r["n"]) for r in rows}
+def _needs(targets: DataFrame) -> tuple[DataFrame, int | None]:
+    """``(label, extra)`` for the labels below their target, and the size of the smallest of them."""
+    needs = written(targets.where(q("target") > q("n")).select(q("label").cast("string").alias("label"), "n", (q("target") - q("n")).alias("extra")), "needs")
+    return needs.drop("n"), needs.agg(F.min("n")).first()[0]
+
+
+def neighbors_for(smallest: int) -> int:
+    return max(1, min(smallest - 1, 5))
 
 
-def neighbors_for(needs: dict[str, tuple[int, int]]) -> int:
-    return max(1, min(min((n for n, _ in needs.values()), default=1) - 1, 5))
+def _of_labels(df: DataFrame, labels: DataFrame | list[str], label_col: str, how: str = "inner") -> DataFrame:
+    """The rows whose label is in a table of distinct labels, with its other columns; a small table is broadcast."""
+    if not isinstance(labels, DataFrame):
+        labels = local_table(df.sparkSession, [(c,) for c in labels], "label string")
+    known = labels.select(q("label").alias("_named"), *[q(c) for c in labels.columns if c != "label"])
+    known, _ = small_table(known)
+    found = df.join(known, q(label_col).cast("string") == q("_named"), how)
+    return found.drop("_named") if how == "inner" else found
 
 
-def border_share(df: DataFrame, labels: list[str], features, label_col: str, key: str, k: int) -> DataFrame:
+def border_share(df: DataFrame, labels: DataFrame | list[str], features, label_col: str, key: str, k: int) -> DataFrame:
     """Rows of the given labels with ``_foreign``, the share of other labels among their ``k`` nearest rows."""
     labelled = df.where(q(label_col).isNotNull())
-    near = knn_lists(labelled.where(q(label_col).cast("string").isin(labels)), labelled, key, features, k, label=label_col)
+    near = knn_lists(_of_labels(labelled, labels, label_col, "left_semi"), labelled, key, features, k, label=label_col)
     other = F.size(F.filter("neighbors", lambda n: n["label"] != q(label_col).cast("string")))
     return near.withColumn("_foreign", other / F.size("neighbors")).drop("neighbors")
 
 
-def borderline_candidates(df: DataFrame, labels: list[str], features, label_col: str = "label", key: str = "id",
+def borderline_candidates(df: DataFrame, labels: DataFrame | list[str], features, label_col: str = "label", key: str = "id",
                           m: int = BORDER_NEIGHBORS) -> DataFrame:
-    """Minority rows of which at least half, but not all, of the ``m`` nearest rows carry another label."""
+    """Minority rows of which at least half, but not all, of the ``m`` nearest rows carry another label. ``labels`` are
+    texts, or a table with the column ``label``."""
     return border_share(df, labels, features, label_col, key, m).where((q("_foreign") >= 0.5) & (q("_foreign") < 1)).drop("_foreign")
 
 
-def adasyn_weights(df: DataFrame, labels: list[str], features, label_col: str = "label", key: str = "id", k: int = 5) -> DataFrame:
+def adasyn_weights(df: DataFrame, labels: DataFrame | list[str], features, label_col: str = "label", key: str = "id", k: int = 5) -> DataFrame:
     """Minority rows with ``weight``: their share of foreign neighbours, as a part of the label's sum."""
-    shares = border_share(df, labels, features, label_col, key, k)
-    sums = shares.groupBy(q(label_col).alias("_label")).agg(F.sum("_foreign").alias("_sum"))
-    return (shares.join(F.broadcast(sums) if len(labels) <= 10_000 else sums, q(label_col) == q("_label"))
+    shares = written(border_share(df, labels, features, label_col, key, k), "shares")
+    sums, _ = small_table(written(shares.groupBy(q(label_col).alias("_label")).agg(F.sum("_foreign").alias("_sum")), "sums"))
+    return (shares.join(sums, q(label_col) == q("_label"))
             .withColumn("weight", F.try_divide("_foreign", "_sum")).drop("_label", "_sum", "_foreign"))
 
 
@@ -70,14 +84,14 @@ def oversample(df: DataFrame, targets: DataFrame, features: str | list[str], lab
     that the target is met exactly). Where no row qualifies, all of the label's rows do. Which neighbour and how far towards it follows from
     the hash of (seed, key, copy number). New rows carry the features and the label; other columns are NULL.
     """
-    needs = _needs(df, targets, label_col)
+    needs, smallest = _needs(targets)
     original = df.withColumn(out, F.lit(False))
-    if not needs:
+    if smallest is None:
         return original
-    k = k or neighbors_for(needs)
+    k = k or neighbors_for(smallest)
     seeds = _seeds(df, needs, features, label_col, key, method, seed, k)
     # Neighbours are sought for the rows that get copies only, among all rows of their label.
-    members = df.where(q(label_col).cast("string").isin(list(needs)))
+    members = _of_labels(df, needs.select("label"), label_col, "left_semi")
     near = knn_lists(seeds.where(q("_copies") > 0), members, key, features, k, within=label_col)
     lists = near.withColumn("_near", F.transform("neighbors", lambda n: n["vector"])).withColumn("_v", vector_of(df, features))
     made = repeat_rows(lists.select(q(label_col), q(key), "_v", "_near", "_copies"), "_copies", "_copy")
@@ -101,44 +115,39 @@ def _whole(dtype) -> bool:
     return is_numeric(dtype) and dtype.simpleString() not in ("double", "float")
 
 
-def _seeds(df: DataFrame, needs: dict, features, label_col: str, key: str, method: str, seed: int, k: int) -> DataFrame:
+def _seeds(df: DataFrame, needs: DataFrame, features, label_col: str, key: str, method: str, seed: int, k: int) -> DataFrame:
     """The rows of the needy labels with ``_copies``, the number of new rows that start from them."""
-    labels = list(needs)
-    pool = df.where(q(label_col).cast("string").isin(labels))
+    pool = _of_labels(df, needs, label_col)
     if method == "smote":
-        return _even(pool, needs, label_col, key, seed)
+        return _even(pool, label_col, key, seed)
+    labels = needs.select("label")
     if method == "borderline":
-        chosen = written(borderline_candidates(df, labels, features, label_col, key), "border")
-        counts = {r[0]: r[1] for r in chosen.groupBy(q(label_col).cast("string")).count().collect()}
-        rest = [c for c in labels if c not in counts]
-        return _even(chosen.unionByName(pool.where(q(label_col).cast("string").isin(rest))), needs, label_col, key, seed)
+        chosen = _of_labels(written(borderline_candidates(df, labels, features, label_col, key), "border"), needs, label_col)
+        return _even(chosen.unionByName(_without(pool, chosen, label_col)), label_col, key, seed)
     if method == "adasyn":
-        weighted = written(adasyn_weights(df, labels, features, label_col, key, k), "weights")
-        more = _lookup({c: extra for c, (_, extra) in needs.items()}, q(label_col))
-        each = F.floor(q("weight") * more).cast("bigint")
-        weighted = weighted.where(q("weight") > 0).withColumn("_each", each)
-        given = weighted.groupBy(q(label_col).cast("string").alias("label")).agg(F.sum("_each").alias("n")).collect()
-        left = {r["label"]: needs[r["label"]][1] - r["n"] for r in given}
-        rest = [c for c in labels if c not in left]
-        share = _spread(weighted.drop("weight"), left, label_col, key, seed)
-        return share.unionByName(_even(pool.where(q(label_col).cast("string").isin(rest)), needs, label_col, key, seed))
+        weighted = _of_labels(written(adasyn_weights(df, labels, features, label_col, key, k), "weights").where(q("weight") > 0), needs, label_col)
+        weighted = weighted.withColumn("_each", F.floor(q("weight") * q("extra")).cast("bigint"))
+        given = weighted.groupBy(q(label_col)).agg((F.max("extra") - F.sum("_each")).alias("_left"))
+        share = _spread(weighted.drop("weight", "extra"), written(given, "given"), label_col, key, seed)
+        return share.unionByName(_even(_without(pool, weighted, label_col), label_col, key, seed))
     raise ValueError(method)
 
 
-def _lookup(values: dict, label: Column) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[label.cast("string")] if values else F.lit(None).cast("bigint")
+def _without(pool: DataFrame, chosen: DataFrame, label_col: str) -> DataFrame:
+    """The rows of labels that no chosen row has."""
+    had = written(chosen.select(q(label_col).cast("string").alias("label")).distinct(), "had")
+    return _of_labels(pool, had, label_col, "left_anti")
 
 
-def _even(pool: DataFrame, needs: dict, label_col: str, key: str, seed: int) -> DataFrame:
-    """Spreads each label's new rows evenly over its rows."""
-    counts = {r["label"]: r["n"] for r in pool.groupBy(q(label_col).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    each = {c: needs[c][1] // n for c, n in counts.items()}
-    left = {c: needs[c][1] % n for c, n in counts.items()}
-    return _spread(pool.withColumn("_each", F.coalesce(_lookup(each, q(label_col)), F.lit(0)).cast("bigint")), left, label_col, key, seed)
+def _even(pool: DataFrame, label_col: str, key: str, seed: int) -> DataFrame:
+    """Spreads each label's ``extra`` new rows evenly over its rows."""
+    sizes = pool.groupBy(q(label_col)).agg(F.max("extra").alias("_extra"), F.count(F.lit(1)).alias("_n"))
+    sizes = written(sizes.select(q(label_col), F.floor(q("_extra") / q("_n")).cast("bigint").alias("_each"), F.pmod("_extra", "_n").alias("_left")), "sizes")
+    each = sizes.select(q(label_col).cast("string").alias("label"), "_each")
+    return _spread(_of_labels(pool.drop("extra"), each, label_col), sizes.select(q(label_col), "_left"), label_col, key, seed)
 
 
-def _spread(pool: DataFrame, left: dict, label_col: str, key: str, seed: int) -> DataFrame:
-    """``_copies``: the row's own part ``_each``, and one of its label's ``left`` more for the first rows in seeded order."""
-    take = F.coalesce(_lookup(left, q("_g0")), F.lit(0))
-    taken = take_first(pool, label_col, take, key, seed, out="_more")
+def _spread(pool: DataFrame, left: DataFrame, label_col: str, key: str, seed: int) -> DataFrame:
+    """``_copies``: the row's own part ``_each``, and one of its label's ``_left`` more for the first rows in seeded order."""
+    taken = take_first(pool, label_col, q("_left"), key, seed, out="_more", targets=left)
     return taken.withColumn("_copies", q("_each") + q("_more").cast("bigint")).drop("_each", "_more")

@@ -91,6 +91,19 @@ def test_oversampling_meets_targets(spark, method, monkeypatch):
     assert outside.count() == 0
 
 
+@pytest.mark.parametrize("method", ["smote", "adasyn"])
+def test_oversampling_of_many_labels(spark, method, monkeypatch):
+    """More labels than are broadcast, no label in the plan, and one label with a third of the rows."""
+    monkeypatch.setattr(balance, "small_table", lambda df: (df, None))
+    label = F.when(q("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.floor(q("id") / 12).cast("string")))
+    df = spark.range(3600).select("id", label.alias("kind"), F.pmod(F.xxhash64("id"), F.lit(997)).cast("double").alias("x"))
+    targets = balance.balance_targets(df, 0.01, "kind")
+    got = balance.oversample(df, targets, ["x"], "kind", method=method)
+    sizes = {r["kind"]: (r["n"], r["new"]) for r in got.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("new")).collect()}
+    assert len(sizes) == 301 and sizes.pop("hot") == (1200, 0) and set(sizes.values()) == {(12, 4)}
+    assert "c17" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_targets_and_undersampling(spark):
     df = local_table(spark, [(i, "a" if i < 7 else "b" if i < 10 else None) for i in range(12)], "id int, label string")
     assert sorted(map(tuple, balance.balance_targets(df, 0.9).collect())) == [("a", 7, 7), ("b", 3, 6)]
