@@ -634,10 +634,6 @@ def _forest(spark: SparkSession, sf: str):
     return models.train_forest(labelled(spark, sf), features=FEATURES)
 
 
-def _boosted(spark: SparkSession, sf: str):
-    return models.train_boosted(labelled(spark, sf), features=FEATURES)
-
-
 def label_mapping(spark, sf):
     return models.label_mapping(flows(spark, sf))
 
@@ -715,7 +711,9 @@ def explain_predictions(spark, sf):
 
 
 def explain_boosted(spark, sf):
-    return _reasons(explain.explain_predictions(_boosted(spark, sf), labelled(spark, sf), "item"))
+    """Two labels, two conditions or more against fewer, so that each condition speaks for one label and against the other."""
+    df = labelled(spark, sf).withColumn("label", F.when(q("label") == "A", "few").otherwise("most"))
+    return _reasons(explain.explain_predictions(models.train_boosted(df, features=FEATURES), df, "item"))
 
 
 def decode_label(spark, sf):
