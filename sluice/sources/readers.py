@@ -5,17 +5,26 @@ import csv
 import io
 from collections.abc import Iterable, Iterator
 from functools import reduce
-from operator import or_
+from itertools import groupby, repeat
+from operator import itemgetter, or_
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import q
 from ..operators.columns import numbered_repeats
+from ..session import local_table, written
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
 FIELD_LIMIT = 1 << 30
 CORRUPT = "_corrupt_record"
+HEADERS = "path string, filename string, names array<string>, reason string"
+CODECS = {"gz": "gzip", "bz2": "bz2", "zst": "zstd", "zstd": "zstd", "lz4": "lz4"}
+WHOLE_BYTES = 256 << 20
+BROADCAST_FILES = 2_000_000  # 12 bytes each
 
 
 def read_table(spark: SparkSession, path: str | list[str], types: str | T.StructType = "string", columns: Iterable[str] | None = None,
@@ -43,8 +52,8 @@ def read_table(spark: SparkSession, path: str | list[str], types: str | T.Struct
 
 def with_source(df: DataFrame, out: str = "source_file", folder: bool = False) -> DataFrame:
     """Adds the name of the file (or of its folder) each row was read from."""
-    place = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2) if folder else F.col("_metadata.file_name")
-    return df.select("*", F.url_decode(F.replace(place, F.lit("+"), F.lit("%2B"))).alias(out))
+    place = _decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)) if folder else _file_name()
+    return df.select("*", place.alias(out))
 
 
 def read_folder(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", align: str = "name",
@@ -52,33 +61,78 @@ def read_folder(spark: SparkSession, path: str, recursive: bool = True, include_
                 on_error: str = "skip", **options) -> DataFrame:
     """Reads the files of a folder as one table.
 
-    ``align="name"`` reads files of equal header together and appends these groups by name, so that files may differ
-    in columns and their order; ``position`` takes the first header for all. ``exclude`` is a pattern of file names
+    ``align="name"`` gives each value the name that its file's header has at that place, so that files may differ in
+    columns and their order; ``position`` takes the first header for all, as does a schema in ``types``. There is one scan
+    for all files: a table of files and layouts is joined to its rows, and the driver holds the distinct headers and the
+    paths of files left out (and all paths where ``mode`` refuses rows and headers differ in width). ``exclude`` is a pattern of file names
     to leave out, such as earlier outputs. ``on_error="skip"`` leaves out files that cannot be read, each as a whole
     (:func:`unreadable_files` names them); ``"fail"`` raises. Further CSV options hold for rows and headers alike.
     """
     headers = header_list(spark, path, recursive, include_glob, **options)
     if exclude:
         headers = headers.where(~q("filename").rlike(exclude))
-    bad = headers.where(q("reason").isNotNull())
-    if on_error == "fail" and (some := bad.take(5)):
+    headers = written(headers, "headers")
+    if on_error == "fail" and (some := headers.where(q("reason").isNotNull()).take(5)):
         raise OSError("cannot read " + "; ".join(f"{r['path']}: {r['reason']}" for r in some))
     usable = headers.where(F.size("names") > 0)
-    if align == "position":
-        first = usable.orderBy("path").select("names").first()
-        groups = {tuple(first["names"]): [r["path"] for r in usable.select("path").toLocalIterator()]} if first else {}
-    else:
-        groups = {}
-        for row in usable.toLocalIterator():
-            groups.setdefault(tuple(row["names"]), []).append(row["path"])
-    if not groups:
+    layouts = [r["names"] for r in usable.groupBy("names").agg(F.min("path").alias("first")).orderBy("first").collect()]
+    if not layouts:
         raise FileNotFoundError(f"no readable file with a header matches {include_glob!r} below {path}")
-    parts = []
-    for names, paths in groups.items():
-        schema = types if not isinstance(types, str) else T.StructType([T.StructField(n, T.StringType()) for n in numbered_repeats(names)])
-        df = read_table(spark, paths, schema, fmt="csv", **{"enforceSchema": True, "ignoreCorruptFiles": False, **options})
-        parts.append(with_source(df, source_col) if source_col else df)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if align == "position" or not isinstance(types, str):
+        layouts = layouts[:1]
+    named = [numbered_repeats(names) for names in layouts]
+    out = list(dict.fromkeys(n for names in named for n in names)) if isinstance(types, str) else types.names
+    places = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(map(len, named)))])
+    options = {"enforceSchema": True, "ignoreCorruptFiles": False, **options, "recursiveFileLookup": recursive, "pathGlobFilter": include_glob}
+
+    # One scan by position, whatever the number of files and layouts; files are left out while Spark lists them.
+    df = read_table(spark, path, places if isinstance(types, str) else types, fmt="csv", **options)
+    file = F.col("_metadata.file_path")
+    if exclude:
+        df = df.where(~_file_name().rlike(exclude))
+    if left_out := [r["path"] for r in headers.where(F.size("names") == 0).select("path").collect()]:
+        df = df.where(~file.isin(left_out))
+    fields = df.columns
+    strict = next((str(v).upper() for k, v in options.items() if k.lower() == "mode"), "PERMISSIVE") != "PERMISSIVE"
+    if len(layouts) > 1 and strict and len(set(map(len, layouts))) > 1:
+        # Rows are judged by the width of their own file's header, so each layout is parsed by itself.
+        parts = []
+        for names, header in zip(named, layouts):
+            paths = [r["path"] for r in usable.where(q("names") == F.array(*[F.lit(c) for c in header])).select("path").toLocalIterator()]
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            part = read_table(spark, [unquote(p) for p in paths], schema, fmt="csv", **options)
+            parts.append(with_source(part, source_col) if source_col else part)
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if len(layouts) > 1:
+        numbers = local_table(spark, [(names, i) for i, names in enumerate(layouts)], "names array<string>, _layout int")
+        layout_of = written(usable.join(F.broadcast(numbers), "names").select(F.xxhash64("path").alias("_file"), "_layout"), "layouts")
+        n, distinct = layout_of.agg(F.count(F.lit(1)), F.count_distinct("_file")).first()
+        if n != distinct:
+            raise RuntimeError("two files share a 64-bit hash; read them in two calls")
+        df = df.select("*", F.xxhash64(file).alias("_file"), _file_name().alias("_name"))
+        df = df.join(F.broadcast(layout_of) if n <= BROADCAST_FILES else layout_of, "_file")
+        columns = [_by_layout(name, named) for name in out]
+    else:
+        df = df.select("*", _file_name().alias("_name"))
+        columns = [q(f).alias(name) for f, name in zip(fields, out)]
+    return df.select(*columns, *([q("_name").alias(source_col)] if source_col else []))
+
+
+def _decoded(place: Column) -> Column:
+    return F.url_decode(F.replace(place, F.lit("+"), F.lit("%2B")))
+
+
+def _file_name() -> Column:
+    return _decoded(F.col("_metadata.file_name"))
+
+
+def _by_layout(name: str, layouts: list[list[str]]) -> Column:
+    """The column called ``name`` from its place in each layout; NULL in the layouts without it."""
+    at: dict[int, list[int]] = {}
+    for number, names in enumerate(layouts):
+        if name in names:
+            at.setdefault(names.index(name), []).append(number)
+    return F.coalesce(*[F.when(q("_layout").isin(numbers), q(f"_c{place}")) for place, numbers in at.items()]).alias(name)
 
 
 def unreadable_files(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", **options) -> DataFrame:
@@ -107,46 +161,88 @@ def rejected_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def header_list(spark: SparkSession, path: str, recursive: bool = True, include_glob: str = "*.csv", **options) -> DataFrame:
     """``(path, filename, names, reason)``: the header of each file, up to the end of its first record.
 
-    The listing comes from Spark; each task opens its files. Compressed files are read to their end, because a cut one
-    shows only there. A file that cannot be read has a ``reason`` and no names. ``sep``, ``quote`` and ``encoding`` are
-    taken from the CSV options.
+    The listing comes from Spark. Files in a store that Arrow opens are opened by the tasks; in any other store Spark's text
+    reader gives the lines of each file's first split. Compressed files are read to their end, because a cut one shows only
+    there (in other stores up to ``WHOLE_BYTES``; a larger one fails when its rows are read). A file that cannot be read
+    has a ``reason`` and no names. ``sep``, ``quote`` and ``encoding`` are taken from the CSV options.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", include_glob)
-             .load(path).select("path"))
+    def load(fmt: str, **more) -> DataFrame:
+        return (spark.read.format(fmt).options(recursiveFileLookup=recursive, pathGlobFilter=include_glob, **more).load(path)
+                .withColumn("_path", F.col("_metadata.file_path")))
+
     known = {k.lower(): v for k, v in options.items()}
     style = (known.get("sep") or known.get("delimiter") or ",", known.get("quote") or '"', known.get("encoding") or known.get("charset") or "utf-8-sig")
-    return files.mapInPandas(_header_reader(*style), "path string, filename string, names array<string>, reason string")
+    files = load("binaryFile").select(F.col("_path").alias("path"), "length")
+    some = files.select("path").first()
+    if some is None or _arrow_opens(some["path"]):
+        return files.select("path").mapInPandas(_header_reader(*style), HEADERS)
+    packed = F.lower(F.element_at(F.split("_path", "[.]"), -1)).isin(list(CODECS)) & (F.col("_metadata.file_size") <= WHOLE_BYTES)
+    lines = load("text", lineSep="\n").where(~packed & (F.col("_metadata.file_block_start") == 0))
+    plain = lines.select(F.col("_path").alias("path"), F.col("value").cast("binary").alias("line")).mapInArrow(_first_records(*style), "path string, names array<string>, reason string")
+    whole = load("binaryFile").where(packed).select(F.col("_path").alias("path"), "content").mapInPandas(_header_reader(*style), HEADERS)
+    found = plain.unionByName(whole.select("path", "names", "reason"))
+    return (files.select("path").join(found, "path", "left")
+            .select("path", _decoded(F.element_at(F.split("path", "/"), -1)).alias("filename"), F.coalesce("names", F.array().cast("array<string>")).alias("names"), "reason"))
+
+
+def _arrow_opens(path: str) -> bool:
+    """Whether Arrow knows the store: always for local files, else by opening one file."""
+    if path.startswith("file:"):
+        return True
+    try:
+        _open(path)[0].close()
+        return True
+    except (OSError, ValueError, NotImplementedError):
+        return False
 
 
-def _open(path: str):
-    """The file's bytes, decompressed by its suffix, and whether they are compressed."""
-    from urllib.parse import unquote
+def _first_records(sep: str, quote: str, encoding: str):
+    """The first record of each file, from its lines in order; the other lines are passed over batch by batch."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(FIELD_LIMIT)
+        done = None
+
+        def lines():
+            for batch in batches:
+                if batch.num_rows and not batch["path"][0].as_py() == batch["path"][-1].as_py() == done:
+                    yield from zip(batch["path"].to_pylist(), batch["line"].to_pylist())
+
+        for path, group in groupby(lines(), itemgetter(0)):
+            names, reason = [], None
+            try:
+                texts = (line.decode(encoding if i == 0 else encoding.removesuffix("-sig"), "replace") + "\n" for i, (_, line) in enumerate(group))
+                names = next(csv.reader(texts, delimiter=sep, quotechar=quote), [])
+            except (LookupError, csv.Error) as error:
+                reason = str(error)
+            done = path
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([names], pa.list_(pa.string())), pa.array([reason], pa.string())], ["path", "names", "reason"])
+    return read
 
-    import pyarrow as pa
-    from pyarrow import fs
 
-    if path.startswith("file:"):
+def _open(path: str, content: bytes | None = None):
+    """The file's bytes (or the given ones), decompressed by its suffix, and whether they are compressed."""
+    if content is not None:
+        system, inner = None, path
+    elif path.startswith("file:"):
         system, inner = fs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
     else:
         # The same store, by the name that Arrow knows it under.
         system, inner = fs.FileSystem.from_uri(unquote(path).replace("s3a://", "s3://", 1))
     suffix = inner.rsplit(".", 1)[-1].lower()
-    codec = {"gz": "gzip", "bz2": "bz2", "zst": "zstd", "zstd": "zstd", "lz4": "lz4"}.get(suffix)
-    stream = system.open_input_stream(inner, compression=None)
+    codec = CODECS.get(suffix)
+    stream = system.open_input_stream(inner, compression=None) if content is None else pa.BufferReader(content)
     return (pa.CompressedInputStream(stream, codec) if codec else stream), bool(codec)
 
 
 def _header_reader(sep: str, quote: str, encoding: str):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import unquote
-
         csv.field_size_limit(FIELD_LIMIT)
         for batch in batches:
             rows = []
-            for path in batch["path"]:
+            for path, content in zip(batch["path"], batch["content"] if "content" in batch else repeat(None)):
                 names, reason = [], None
                 try:
-                    stream, compressed = _open(path)
+                    stream, compressed = _open(path, content)
                     with stream:
                         text = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
                         names = next(csv.reader(text, delimiter=sep, quotechar=quote), [])

@@ -174,3 +174,44 @@ def test_parts_are_joined_under_one_header(spark, tmp_path, monkeypatch, way):
     assert sorted(map(int, open(lines).read().split())) == list(range(2000))
     with pytest.raises(ValueError):
         writers.merge_parts(df, f"{tmp_path}/x", "parquet")
+
+
+def test_many_files_of_few_layouts_are_one_scan(spark, tmp_path):
+    """5,000 files of three layouts: one scan in the plan, and the driver gets layouts, not paths."""
+    heads = ["a,b", "b,a,a", "c,b"]
+    for i in range(5000):
+        (tmp_path / f"f{i:04d}.csv").write_text(f"{heads[i % 3]}\n{i},{-i}{',7' if i % 3 == 1 else ''}\n")
+    df = sources.read_folder(spark, str(tmp_path))
+    assert df.columns == ["a", "b", "a.1", "c", "source_file"]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("csv") == 1
+    got = df.selectExpr("cast(substr(source_file, 2, 4) as int) i", "a", "b", "`a.1`", "c").collect()
+    want = [(i, *[(str(i), str(-i), None, None), (str(-i), str(i), "7", None), (None, str(-i), None, str(i))][i % 3]) for i in range(5000)]
+    assert sorted(map(tuple, got)) == want
+
+
+@pytest.fixture()
+def mounted(spark, tmp_path):
+    """The folder under a name that only Spark's file systems know."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.sources.link./in", f"file://{tmp_path}")
+    return "viewfs://sources/in"
+
+
+def test_stores_that_only_spark_opens(spark, tmp_path, folder, mounted):
+    import gzip
+    text = "b,id\n" + "".join(f"{i},{i * 7919 % 10007}\n" for i in range(50_000))
+    packed = gzip.compress(text.encode())
+    (tmp_path / "good.csv.gz").write_bytes(packed)
+    (tmp_path / "cut.csv.gz").write_bytes(packed[:len(packed) // 2])
+    (tmp_path / "q.csv").write_bytes(('﻿"two\nlines",id\n' + "x,9\n" * 30_000).encode())
+    near, far = (readers.header_list(spark, p, include_glob="*.csv*").selectExpr("filename", "names", "reason is null as good").collect() for p in (folder, mounted))
+    assert sorted(near) == sorted(far) and len(far) == 6 and [r["filename"] for r in far if not r["good"]] == ["cut.csv.gz"]
+    assert ["two\nlines", "id"] in [r["names"] for r in far]
+    there = [sources.read_folder(spark, p, include_glob="*.csv*", exclude="^q").orderBy("source_file", "id", "b") for p in (folder, mounted)]
+    assert there[0].columns == there[1].columns and there[0].collect() == there[1].collect() and there[1].count() == 50_004
+    assert sources.schema_conformance(spark, ["id", "v", "extra"], mounted, include_glob="b*.csv").count() == 0
+
+
+def test_strict_modes_judge_rows_by_their_own_header(spark, folder):
+    kept = sources.read_folder(spark, folder, mode="DROPMALFORMED")
+    assert sorted(r["source_file"] for r in kept.collect()) == ["a.csv", "a.csv", "b.csv", "c+d.csv"]
