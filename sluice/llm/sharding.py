@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import local_table, written
 from .running import running
 
+STEPS = 16  # size classes for each doubling
+
 
 def _share(*columns: Column) -> Column:
     """A number in [0, 1) that depends on the columns only."""
@@ -62,16 +64,26 @@ def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Dat
     return state
 
 
+def _cuts(counts: list[tuple[int, int]], shares: tuple[float, ...]) -> list[int]:
+    """The steps up to which there are these shares of all rows, from (step, rows) in order."""
+    total, upto, steps = sum(n for _, n in counts), 0, []
+    for step, n in counts:
+        upto += n
+        steps += [step] * sum(upto >= share * total for share in shares[len(steps):])
+    return steps or [0] * len(shares)
+
+
 def _filled(pool: DataFrame, loads: list[int], total: int, shards: int) -> DataFrame:
     """Gives each row of ``pool`` (node, order, size) the shard whose gap holds the middle of its bytes in running order.
 
     Large documents go first, into gaps scaled to their share of the pool, and small ones last, so that what is left
     uneven at the borders of the gaps is about the size of a small document.
     """
-    cuts = pool.agg(F.percentile_approx("size", [0.3, 0.9], 1000)).first()[0] or [0, 0]
+    pool = pool.withColumn("step", F.floor(F.log2("size") * STEPS).cast("int"))
+    cuts = _cuts(sorted(map(tuple, pool.groupBy("step").count().collect())), (0.3, 0.9))
     bounds = [total * (s + 1) // shards - total * s // shards for s in range(shards)]
     loads, parts = list(loads), []
-    classes = [F.col("size") > cuts[1], F.col("size").between(cuts[0] + 1, cuts[1]), F.col("size") <= cuts[0]]
+    classes = [F.col("step") > cuts[1], F.col("step").between(cuts[0] + 1, cuts[1]), F.col("step") <= cuts[0]]
     sums = pool.agg(*[F.coalesce(F.sum(F.when(c, F.col("size"))), F.lit(0)) for c in classes]).first()
     for k, chosen in enumerate(classes):
         gaps = [max(0, b - load) for b, load in zip(bounds, loads)]
@@ -90,11 +102,14 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``size`` is the text's bytes in UTF-8, none for NULL, plus 1. Law ``bytes``: shards differ by about one document.
     ``slot`` counts a shard's rows from 0 in the order of ids, NULL last. Rows with NULL texts have no links and a NULL
-    checksum; empty texts are equal texts. Repeated rows are rows like others. ``grown_shard`` is always NULL.
+    checksum; empty texts are equal texts. Repeated rows are rows like others. ``grown_shard`` is always NULL. The result
+    depends on ids and texts only, not on partitions.
     """
-    nodes = written(docs.select(F.col(id_col).alias("id"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
-                                F.crc32(F.encode(text_col, "UTF-8")).alias("text_crc32"), F.sha2(F.encode(text_col, "UTF-8"), 256).alias("grp"))
-                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    plain = docs.select(F.col(id_col).alias("id"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
+                        F.crc32(F.encode(text_col, "UTF-8")).alias("text_crc32"), F.sha2(F.encode(text_col, "UTF-8"), 256).alias("grp"))
+    # Rows are numbered by id and text; only rows equal in both, which may change places, are told apart by where they stand.
+    order = [F.xxhash64(F.col("id").cast("string"), "grp"), F.col("id"), F.col("grp"), F.monotonically_increasing_id()]
+    nodes = written(running(plain.withColumn("one", F.lit(1).cast("long")), order, "one", "node").drop("one"), "nodes")
     total = int(nodes.agg(F.sum("size")).first()[0] or 0)
     capacity = total // shards
     groups = nodes.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp")

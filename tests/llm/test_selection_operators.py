@@ -103,6 +103,9 @@ def test_sharding(spark, copies):
     assert max(loads.values()) - min(loads.values()) <= 1200
     together = [sum(c.values()) == max(c.values()) for c in where.values() if sum(c.values()) > 1]
     assert sum(together) >= 0.9 * len(together)
+    columns = ["doc_id", "size", "text_crc32", "shard", "slot"]
+    again = balanced_shards(docs.repartition(7), shards=8).select(columns)
+    assert Counter(map(tuple, again.collect())) == Counter(tuple(r[c] for c in columns) for r in rows)
 
 
 def test_sharding_of_nothing(spark):
