@@ -40,7 +40,7 @@ def op4_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    found = lines_deduplicated(table(spark, sf, "documents"), divisor=4, min_lines=2)
+    found = lines_deduplicated(table(spark, sf, "documents"), chunkings=12, min_lines=2)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

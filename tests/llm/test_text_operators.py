@@ -1,5 +1,6 @@
 """Operators on texts against brute force, on a table with everything awkward."""
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -184,34 +185,36 @@ def test_contaminated_spans_go(spark):
     assert nothing.where("contaminated or n_items > 0").count() == 0 and nothing.count() == documents(spark).count()
 
 
-def test_line_chunks(spark):
-    rows = documents(spark).select("doc_id", "text").collect()
-    cut = {}
+def line_dedup(rows, chunkings):
+    """What the operator gives, from chunks of texts."""
+    cut, first = {}, {}
     for doc, text in rows:
         if text is None or doc is None:
             continue
-        lines, chunks, start = text.split("\n"), [], 0
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        for i in range(len(lines)):
-            r = h[i] + 31 * (h[i - 1] if i else 0) + 961 * (h[i - 2] if i > 1 else 0)
-            if r % 2 == 0 or i == len(lines) - 1:
-                chunks.append(lines[start:i + 1])
-                start = i + 1
-        cut[(doc, text)] = chunks
-    first = {}
-    for (doc, text), chunks in cut.items():
-        for j, c in enumerate(chunks):
-            if len(c) > 1:
-                first[tuple(c)] = min(first.get(tuple(c), (doc, j)), (doc, j))
+        lines, cut[(doc, text)] = text.split("\n"), []
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines] + [0, 0]
+        for c in range(chunkings):
+            start = 0
+            for i in range(len(lines)):
+                value = h[i + 1] + 31 * h[i + 2 if i + 2 < len(h) else -1] if c % 2 else h[i] + 31 * (h[i - 1] if i else 0)
+                if not value >> c // 2 & 1 or i == len(lines) - 1:
+                    if i > start:
+                        chunk = (c, *lines[start:i + 1])
+                        cut[(doc, text)].append((start, chunk))
+                        first[chunk] = min(first.get(chunk, (doc, start)), (doc, start))
+                    start = i + 1
     want = Counter()
     for doc, text in rows:
-        chunks = cut.get((doc, text))
-        if chunks is None:
-            want[(doc, 0 if text is None else text.count("\n") + 1, 0, text)] += 1
-            continue
-        gone = [j for j, c in enumerate(chunks) if len(c) > 1 and first[tuple(c)] < (doc, j)]
-        want[(doc, text.count("\n") + 1, sum(len(chunks[j]) for j in gone), "\n".join("\n".join(c) for j, c in enumerate(chunks) if j not in gone))] += 1
-    got = Counter(tuple(r) for r in line_chunks.lines_deduplicated(documents(spark), divisor=2).collect())
+        gone = {start + k for start, chunk in cut.get((doc, text), []) if first[chunk] < (doc, start) for k in range(len(chunk) - 1)}
+        lines = [] if text is None else text.split("\n")
+        want[(doc, len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)] += 1
+    return want
+
+
+def test_line_chunks(spark):
+    rows = documents(spark).select("doc_id", "text").collect()
+    want = line_dedup(rows, 5)
+    got = Counter(tuple(r) for r in line_chunks.lines_deduplicated(documents(spark), chunkings=5).collect())
     assert got == want
     assert any(n for _, _, n, _ in want)
     assert line_chunks.lines_deduplicated(empty(spark)).count() == 0
@@ -235,3 +238,30 @@ def test_automaton_matches_are_longest():
 def test_columns_of_any_name_pass(spark):
     odd = documents(spark).withColumn("hits", F.lit(1)).withColumn("items", F.lit(2)).withColumn("clean", F.lit(3))
     assert dec.decontaminate(odd, items_table(spark)).columns == odd.columns
+
+
+def test_line_chunks_of_passages(spark):
+    """Shared passages go where they stand a second time, whatever stands around them; their first copy and all else stays."""
+    rng = random.Random(4)
+    line = lambda: " ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(8)) + str(rng.random())
+    rows, hit, total = [], 0, 0
+    passages = [[line() for _ in range(8 + k % 5)] for k in range(40)]
+    for copy in range(3):
+        for k, passage in enumerate(passages):
+            rows.append((copy * 100 + k, "\n".join([line() for _ in range(rng.randrange(5))] + passage + [line() for _ in range(rng.randrange(5))])))
+    got = line_chunks.lines_deduplicated(local_table(spark, rows, "doc_id bigint, text string")).collect()
+    assert Counter(map(tuple, got)) == line_dedup(rows, 12)
+    left = {r.doc_id: set(r.text.split("\n")) for r in got}
+    for doc, text in rows:
+        own = set(passages[doc % 100])
+        assert set(text.split("\n")) - own <= left[doc] and (doc >= 100 or own <= left[doc])
+        hit, total = (hit + len(own - left[doc]), total + len(own)) if doc >= 100 else (hit, total)
+    assert hit >= 0.9 * total
+
+
+def test_lines_that_share_hashes_are_compared(spark, monkeypatch):
+    """With hashes of the length only, different lines meet, and none of them goes."""
+    rows = [(1, "ab\ncd\nsame one\nsame two!"), (2, "xy\nzw\nsame one\nsame two!"), (3, "other line\nsame one\nsame two!")]
+    monkeypatch.setattr(line_chunks, "line_keys", lambda x: F.struct(F.length(x).cast("long").alias("a"), F.length(x).cast("long").alias("b")))
+    got = {r.doc_id: r.text.split("\n") for r in line_chunks.lines_deduplicated(local_table(spark, rows, "doc_id bigint, text string")).collect()}
+    assert got[1] == ["ab", "cd", "same one", "same two!"] and got[2][:2] == ["xy", "zw"] and got[3][0] == "other line"
