@@ -7,12 +7,12 @@ beyond the next ones, and shared passages have the same chunks wherever they sta
 one alone leaves what lies between its last border and the edge of a passage; looking back finds the ends of passages,
 looking ahead their beginnings.
 
-A chunk of at least ``min_lines`` lines that the same chunking also has elsewhere is removed, all but the first occurrence by
-(id, line); a line goes if any chunking removes it. Its content is kept where it stands first: each removal points to a
+A chunk of at least ``min_lines`` lines that any chunking also has elsewhere is removed, all but the first occurrence by
+(id, line); a line goes with any of its chunks. Its content is kept where it stands first: each removal points to a
 smaller (id, line). Chunks are found by two 64-bit hashes over their lines, and the lines of all that repeat are compared
 by bytes: different lines that share their hashes stay.
 
-Cost: three chunks a line, 48 bytes each, cross the network; texts cross it once, and the lines of repeated chunks once more.
+Cost: two chunks a line, 48 bytes each, cross the network; texts cross it once, and the lines of repeated chunks once more.
 """
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import written
 
 FACTOR = 31
+PACK = 1 << 31  # first line and number of lines of a chunk in one number
 
 
 def _let(value: Column, body) -> Column:
@@ -42,7 +43,7 @@ def lines_of(text: Column) -> Column:
 
 
 def chunks_of(text: Column, chunkings: int, min_lines: int) -> Column:
-    """array<struct<at:int, n:int, k1:bigint, k2:bigint>>: the chunks of all chunkings from ``min_lines`` lines on."""
+    """array<struct<at:int, n:int, k1:bigint, k2:bigint>>: the chunks of all chunkings from ``min_lines`` lines on, each place once."""
     def at(hashes: Column, i: Column) -> Column:
         return F.coalesce(F.get(hashes, i), F.lit(0))
 
@@ -56,15 +57,14 @@ def chunks_of(text: Column, chunkings: int, min_lines: int) -> Column:
         values = F.get(rolls, c % 2)
         inner = F.filter(F.sequence(F.lit(0), last), lambda i: (i < last) & (F.getbit(F.get(values, i), F.floor(c / 2).cast("int")) == 0))
         return _let(F.concat(inner, F.array(last)), lambda ends: F.filter(
-            F.transform(ends, lambda end, j: _let(F.coalesce(F.get(ends, j - 1), F.lit(-1)), lambda before: F.struct((before + 1).alias("at"), (end - before).alias("n")))),
-            lambda s: s["n"] >= min_lines))
+            F.transform(ends, lambda end, j: _let(F.coalesce(F.get(ends, j - 1), F.lit(-1)), lambda before: (before + 1).cast("long") * PACK + (end - before))),
+            lambda s: s % PACK >= min_lines))
 
     def keyed(keys: Column, rolls: Column) -> Column:
-        def one(c: Column) -> Column:
-            def key(part: str, s: Column) -> Column:
-                return F.xxhash64(c, F.slice(keys[part], s["at"] + 1, s["n"]))
-            return F.transform(spans(rolls, c), lambda s: F.struct(s["at"].alias("at"), s["n"].alias("n"), key("a", s).alias("k1"), key("b", s).alias("k2")))
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(chunkings - 1)), one))
+        def one(at: Column, n: Column) -> Column:
+            return F.struct(at.alias("at"), n.alias("n"), *[F.xxhash64(F.slice(keys[part], at + 1, n)).alias(name) for part, name in (("a", "k1"), ("b", "k2"))])
+        places = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(chunkings - 1)), lambda c: spans(rolls, c))))
+        return F.transform(places, lambda s: one(F.shiftright(s, 31).cast("int"), (s % PACK).cast("int")))
 
     # One array for each hash: a field of an array of structs would be a new array for every chunk.
     def keys_of(pairs: Column) -> Column:

@@ -46,8 +46,9 @@ hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
 rolled AS (SELECT *, h + 31 * lag(h, 1, 0) OVER w AS back, lead(h, 1, 0) OVER w + 31 * lead(h, 2, 0) OVER w AS ahead FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 cut AS (SELECT doc_id, i, line, c, ((CASE WHEN c % 2 = 0 THEN back ELSE ahead END) >> (c // 2)::BIGINT) & 1 AS bit FROM rolled, range(12) AS x(c)),
 placed AS (SELECT *, coalesce(sum(1 - bit) OVER (PARTITION BY doc_id, c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM cut),
-chunks AS (SELECT doc_id, c, min(i) AS start, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY doc_id, c, g),
-judged AS (SELECT * FROM chunks WHERE lines >= 2 QUALIFY row_number() OVER (PARTITION BY c, chunk ORDER BY doc_id, start) > 1),
+all_chunks AS (SELECT doc_id, c, min(i) AS start, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY doc_id, c, g),
+chunks AS (SELECT DISTINCT doc_id, start, lines, chunk FROM all_chunks WHERE lines >= 2),
+judged AS (SELECT * FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) > 1),
 gone AS (SELECT DISTINCT doc_id, start + o AS i FROM judged, unnest(range(0, lines)) AS t(o)),
 left_over AS (SELECT l.doc_id, count(g.i) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS kept
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)

@@ -199,13 +199,13 @@ def line_dedup(rows, chunkings):
                 value = h[i + 1] + 31 * h[i + 2 if i + 2 < len(h) else -1] if c % 2 else h[i] + 31 * (h[i - 1] if i else 0)
                 if not value >> c // 2 & 1 or i == len(lines) - 1:
                     if i > start:
-                        chunk = (c, *lines[start:i + 1])
+                        chunk = tuple(lines[start:i + 1])
                         cut[(doc, text)].append((start, chunk))
                         first[chunk] = min(first.get(chunk, (doc, start)), (doc, start))
                     start = i + 1
     want = Counter()
     for doc, text in rows:
-        gone = {start + k for start, chunk in cut.get((doc, text), []) if first[chunk] < (doc, start) for k in range(len(chunk) - 1)}
+        gone = {start + k for start, chunk in cut.get((doc, text), []) if first[chunk] < (doc, start) for k in range(len(chunk))}
         lines = [] if text is None else text.split("\n")
         want[(doc, len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)] += 1
     return want
