@@ -559,7 +559,7 @@ def map_labels(spark, sf):
 
 def knn_join(spark, sf):
     df = vectors(spark, sf)
-    found = nearest(df, df, "vec_id", "embedding", 5, within="label")
+    found = nearest(df, df, "vec_id", "embedding", 5, within="label", vectors=False)
     return found.select("vec_id", "rank", "neighbor", F.round("distance", 4).alias("distance"))
 
 

@@ -55,7 +55,7 @@ def _of_labels(df: DataFrame, labels: DataFrame | list[str], label_col: str, how
 def border_share(df: DataFrame, labels: DataFrame | list[str], features, label_col: str, key: str, k: int) -> DataFrame:
     """Rows of the given labels with ``_foreign``, the share of other labels among their ``k`` nearest rows."""
     labelled = df.where(q(label_col).isNotNull())
-    near = knn_lists(_of_labels(labelled, labels, label_col, "left_semi"), labelled, key, features, k, label=label_col)
+    near = knn_lists(_of_labels(labelled, labels, label_col, "left_semi"), labelled, key, features, k, label=label_col, vectors=False)
     other = F.size(F.filter("neighbors", lambda n: n["label"] != q(label_col).cast("string")))
     return near.withColumn("_foreign", other / F.size("neighbors")).drop("neighbors")
 

@@ -112,3 +112,31 @@ def test_targets_and_undersampling(spark):
     aims = local_table(spark, [("a", 2)], "label string, target bigint")
     left = balance.undersample(df, aims, key="id").groupBy("label").count().collect()
     assert {r["label"]: r["count"] for r in left} == {"a": 2, "b": 3, None: 2}
+
+
+def test_visits_carry_little(spark, monkeypatch):
+    """Without structure every cell is visited: a visit gives one row, within the bound, and no vector."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 12)))]
+    df = local_table(spark, rows, "id bigint, v array<float>")
+    seen, visit = [], neighbors._visit
+
+    def spied(visits, placed, *args):
+        found = visit(visits, placed, *args)
+        seen.append((visits.count(), found.columns, found.count(), found.agg(F.sum(F.size("_d"))).first()[0]))
+        return found
+
+    monkeypatch.setattr(neighbors, "_visit", spied)
+    got = {r["id"]: [n["key"] for n in r["neighbors"]] for r in neighbors.knn_lists(df, df, "id", "v", 4, block_rows=20, vectors=False).collect()}
+    xs = np.array([v for _, v in rows], np.float32).astype(float)
+    apart = np.sqrt(((xs[:, None] - xs[None]) ** 2).sum(-1))
+    assert got == {i: [j for j in np.lexsort((np.arange(300), apart[i])) if j != i][:4] for i in range(300)}
+    visits, columns, n, entries = seen[1]
+    assert columns == ["_id", "_d", "_n", "_nl", "_b"] and n <= visits and entries < 5 * visits / 2
+
+
+def test_blocks_grow_with_their_group(spark):
+    wide = spark.range(40_000).select(F.lit("").alias("_g"), F.array_repeat(F.lit(0.5), 64).alias("_v"))
+    assert neighbors._block_rows(wide) == 16_384
+    assert neighbors._block_rows(wide.withColumn("_v", F.array_repeat(F.lit(0.5), 3))) == 2500
+    assert neighbors._block_rows(spark.range(640_000).select(F.lit("").alias("_g"), F.array_repeat(F.lit(0.5), 64).alias("_v"))) == 40_000
