@@ -1,7 +1,8 @@
 """Gradient-boosted trees over all labels at once, grown level by level from histograms.
 
-Each round grows one tree per label for the softmax loss. Rows stay where they are, as blocks of bin numbers, labels and
-scores so far; a pass over them gives, per open node, feature and bin, the sums of first and second derivatives, which are
+Each round grows one tree per label for the softmax loss. Rows that agree in all bins and in the label also agree in scores
+and derivatives, so they are counted first and are one row with a count from then on. These stay where they are, as blocks
+of bin numbers, labels, counts and scores so far; a pass over them gives, per open node, feature and bin, the sums of first and second derivatives, which are
 all that the driver needs to choose the splits of a level (after Chen and Guestrin 2016). Derivatives are whole multiples
 of a power of two, so that sums are exact and the model is the same for any partitioning. A missing value has a bin of its
 own and goes to the side where the gain is higher.
@@ -130,12 +131,25 @@ def binned(rows: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _blocks(cuts: list[np.ndarray], width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _binned(cuts: list[np.ndarray], width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bins of each row as bytes, with its label; equal rows of one batch are counted."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.array(batch.column(0).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
+        packed = np.concatenate([binned(rows, cuts), batch.column(1).to_numpy().astype(np.int32).view(np.uint8).reshape(-1, 4)], axis=1)
+        found, counts = np.unique(packed.view(f"V{width + 4}").ravel(), return_counts=True)
+        bins = np.ascontiguousarray(found.view(np.uint8).reshape(-1, width + 4)[:, :width])
+        labels = np.ascontiguousarray(found.view(np.uint8).reshape(-1, width + 4)[:, width:]).view(np.int32).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([b.tobytes() for b in bins], pa.binary()), pa.array(labels), pa.array(counts.astype(np.int64))], names=["bins", "label", "n"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, BLOCK_ROWS):
             part = batch.slice(lo, BLOCK_ROWS)
-            rows = np.array(part.column(0).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
-            yield pa.RecordBatch.from_arrays([pa.array([binned(rows, cuts).tobytes()]), pa.array([part.column(1).to_numpy().astype(np.int32).tobytes()])], names=["bins", "labels"])
+            columns = [b"".join(part.column(0).to_pylist()), part.column(1).to_numpy().astype(np.int32).tobytes(), part.column(2).to_numpy().astype(np.int64).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["bins", "labels", "counts"])
 
 
 # ------------------------------------------------ growing
@@ -172,11 +186,21 @@ def derivatives(scores: np.ndarray, labels: np.ndarray, scale: float) -> tuple[n
     return np.rint(g * scale), np.maximum(np.rint(2 * p * (1 - p) * scale), 1)
 
 
+def _exact_sums(index: np.ndarray, weights: np.ndarray, n: int, plain: bool) -> np.ndarray:
+    """Sums of whole numbers by index. Doubles hold whole numbers to 2 ** 53; larger ones are summed in two parts."""
+    if plain:
+        return np.bincount(index, weights=weights, minlength=n).astype(np.int64)
+    whole = weights.astype(np.int64)
+    high, low = (np.bincount(index, weights=part, minlength=n).astype(np.int64) for part in (whole >> 26, whole & ((1 << 26) - 1)))
+    return (high << 26) + low
+
+
 def _histogram(growing: list[Growing], wanted: list[tuple[int, int, int]], scale: float, blocks: Iterator[tuple]) -> Iterator[list[np.ndarray]]:
     """Per wanted (label, first feature, behind the last): sums by (open node, feature, bin, derivative)."""
     out = [np.zeros((len(growing[k].open), hi - lo, BINS, 2), np.int64) for k, lo, hi in wanted]
-    for bins, labels, scores in blocks:
-        g, h = derivatives(scores, labels, scale)
+    for bins, labels, counts, scores in blocks:
+        plain = int(counts.sum()) * scale < 1 << 53
+        g, h = (d * counts[:, None] if plain else d.astype(np.int64) * counts[:, None] for d in derivatives(scores, labels, scale))
         slots = {}
         for found, (k, lo, hi) in zip(out, wanted):
             if k not in slots:
@@ -188,7 +212,7 @@ def _histogram(growing: list[Growing], wanted: list[tuple[int, int, int]], scale
             for f in range(lo, hi):
                 index = base + bins[rows, f]
                 for d in range(2):
-                    found[:, f - lo, :, d] += np.bincount(index, weights=weights[d], minlength=found.shape[0] * BINS).astype(np.int64).reshape(-1, BINS)
+                    found[:, f - lo, :, d] += _exact_sums(index, weights[d], found.shape[0] * BINS, plain).reshape(-1, BINS)
     yield out
 
 
@@ -290,12 +314,12 @@ def _bin_trees(trees: list[Tree], cuts: list[np.ndarray]) -> list[tuple[Growing,
 
 def _unpacked(width: int, n_labels: int, row) -> tuple:
     labels = np.frombuffer(row["labels"], np.int32)
-    return np.frombuffer(row["bins"], np.uint8).reshape(-1, width), labels, np.zeros((len(labels), n_labels))
+    return np.frombuffer(row["bins"], np.uint8).reshape(-1, width), labels, np.frombuffer(row["counts"], np.int64), np.zeros((len(labels), n_labels))
 
 
 def _moved(trees: list[tuple[Growing, np.ndarray]], block: tuple) -> tuple:
-    bins, labels, scores = block
-    return bins, labels, scores + np.stack([values[tree.nodes_of(bins)] for tree, values in trees], axis=1)
+    bins, labels, counts, scores = block
+    return bins, labels, counts, scores + np.stack([values[tree.nodes_of(bins)] for tree, values in trees], axis=1)
 
 
 def train(df: DataFrame, n_labels: int, width: int, rounds: int = 100, depth: int = 6, step: float = 0.3, penalty: float = 1.0, least_cover: float = 1.0) -> Boosted:
@@ -304,8 +328,11 @@ def train(df: DataFrame, n_labels: int, width: int, rounds: int = 100, depth: in
     table = written(df.select("values", "target"), "training")
     n = table.count()
     cuts = _cuts(table, n, width)
-    parts = max(1, n >> 20, min(-(-n // (2 * BLOCK_ROWS)), 4 * spark.sparkContext.defaultParallelism))
-    blocks = written(table.repartition(parts).mapInArrow(partial(_blocks, cuts, width), "bins binary, labels binary"), "blocks")
+    counted = table.mapInArrow(partial(_binned, cuts, width), "bins binary, label int, n bigint").groupBy("bins", "label").agg(F.sum("n").alias("n"))
+    counted = written(counted, "counted")
+    n_distinct = counted.count()
+    parts = max(1, n_distinct >> 20, min(-(-n_distinct // (2 * BLOCK_ROWS)), 4 * spark.sparkContext.defaultParallelism))
+    blocks = written(counted.repartition(parts).mapInArrow(_blocks, "bins binary, labels binary, counts binary"), "blocks")
     state = blocks.rdd.map(partial(_unpacked, width, n_labels)).persist(StorageLevel.MEMORY_AND_DISK)
     scale = float(1 << min(30, 62 - n.bit_length()))
     trees: list[list[Tree]] = []

@@ -206,3 +206,21 @@ def test_text_features_with_more_values_than_are_held(spark, monkeypatch, train,
     loaded = models.load_model(models.save_model(model, scratch_path(spark, "wide")))
     assert models.score_batch(loaded, df).exceptAll(scored).count() == 0
     assert models.score_batch(loaded, df.withColumn("host", F.lit("unknown"))).count() == 2000
+
+
+def test_equal_rows_are_one_row_with_a_count(spark, monkeypatch):
+    """The passes see each (bins, label) once, and the model is that of all rows."""
+    x, y = drawn(400, 5)
+    x = np.round(x)
+    many = table_of(spark, np.tile(x, (6, 1)), np.tile(y, 6))
+    sizes, written = [], boosting.written
+    monkeypatch.setattr(boosting, "written", lambda df, name: (sizes.append((name, df.count())), written(df, name))[1])
+    model = boosting.train(many, 3, x.shape[1], rounds=2, depth=3)
+    assert dict(sizes)["training"] == 2400 and dict(sizes)["counted"] <= 400
+    assert sum(model.trees[0][0].cover[model.trees[0][0].feature < 0]) > 2400 * 0.3
+
+
+def test_sums_beyond_doubles():
+    index, weights = np.array([0, 1, 0, 0, 1]), np.array([(1 << 58) + 1, -(1 << 57) - 3, 5, 1 << 54, 7])
+    assert boosting._exact_sums(index, weights, 2, False).tolist() == [(1 << 58) + (1 << 54) + 6, -(1 << 57) + 4]
+    assert boosting._exact_sums(index, weights % 1000, 2, True).tolist() == boosting._exact_sums(index, weights % 1000, 2, False).tolist()
