@@ -21,6 +21,7 @@ from .sampling import stratified_split
 
 MAX_CATEGORIES = 100_000
 TRAINING_PARTITIONS = 32
+TRAINING_ROWS = 1 << 19
 
 
 @dataclass
@@ -113,7 +114,12 @@ def _with_codes(df: DataFrame, codes: dict[str, tuple[DataFrame, int]]) -> DataF
     return df
 
 
-def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partitions: int = TRAINING_PARTITIONS) -> TrainedModel:
+def _training_partitions(n: int) -> int:
+    """The number of partitions for ``n`` rows: it follows from the rows alone, and a partition stays small."""
+    return max(TRAINING_PARTITIONS, -(-n // TRAINING_ROWS))
+
+
+def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partitions: int | None = None) -> TrainedModel:
     """Prepares the features and the labels of a table, and gives them to ``fit(training, stages, numeric, model)``."""
     types = dtypes(df)
     features = [c for c in (features or df.columns) if c != label_col]
@@ -125,8 +131,9 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partiti
                 .join(table, "_label").drop("_label").withColumn("_target", q("_target").cast("double")))
     codes = {c: _value_codes(labelled, c) for c in text}
     training = _with_codes(training, codes)
-    # Spark ML draws its samples per partition and in row order. Rows placed by their hash into a fixed number of
-    # partitions and sorted there give the same model on any cluster; training caches them itself.
+    # Spark ML draws its samples per partition and in row order. Rows placed by their hash into partitions whose number
+    # depends on the rows only, and sorted there, give the same model on any cluster; training caches them itself.
+    partitions = partitions or _training_partitions(labelled.count())
     spread = [q(c) for c in training.columns]
     training = training.repartition(partitions, F.xxhash64(*spread)).sortWithinPartitions(*spread)
     context = df.sparkSession.sparkContext

@@ -128,3 +128,8 @@ def test_models_do_not_depend_on_the_cluster_and_take_missing_values(spark, data
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1] and len({p for _, p in found[0]}) == 2
+
+
+def test_training_partitions_follow_the_rows():
+    """Tasks of the training stay small however many rows there are; small tables keep their models."""
+    assert [models._training_partitions(n) for n in (0, 1000, 32 << 19, (32 << 19) + 1, 216_000_000)] == [32, 32, 32, 33, 412]
