@@ -6,14 +6,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import columns_of, dtypes, is_numeric, q, quoted
 from ..session import local_table, shared_dir, small_table, written
-from . import boosting
+from . import boosting, forest
 from .columns import label_index
 from .profile import long_values
 from .ranking import number_rows
@@ -119,8 +118,8 @@ def _training_partitions(n: int) -> int:
     return max(TRAINING_PARTITIONS, -(-n // TRAINING_ROWS))
 
 
-def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partitions: int | None = None) -> TrainedModel:
-    """Prepares the features and the labels of a table, and gives them to ``fit(training, stages, numeric, model)``."""
+def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, spread: bool = True) -> TrainedModel:
+    """Prepares the features and the labels of a table, and gives them to ``fit(training, model)``, if asked with equal rows together."""
     types = dtypes(df)
     features = [c for c in (features or df.columns) if c != label_col]
     text = [c for c in features if not is_numeric(types[c])]
@@ -131,11 +130,9 @@ def _fit(df: DataFrame, label_col: str, features: list[str] | None, fit, partiti
                 .join(table, "_label").drop("_label").withColumn("_target", q("_target").cast("double")))
     codes = {c: _value_codes(labelled, c) for c in text}
     training = _with_codes(training, codes)
-    # Spark ML draws its samples per partition and in row order. Rows placed by their hash into partitions whose number
-    # depends on the rows only, and sorted there, give the same model on any cluster; training caches them itself.
-    partitions = partitions or _training_partitions(labelled.count())
-    spread = [q(c) for c in training.columns]
-    training = training.repartition(partitions, F.xxhash64(*spread)).sortWithinPartitions(*spread)
+    if spread:
+        columns = [q(c) for c in training.columns]
+        training = training.repartition(_training_partitions(labelled.count()), F.xxhash64(*columns)).sortWithinPartitions(*columns)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
@@ -154,19 +151,20 @@ def train_forest(df: DataFrame, label_col: str = "label", features: list[str] |
                  seed: int = 42) -> TrainedModel:
     """Random forest. Missing numbers become a value below all others; infinities must be repaired before. Text features
     become the positions of their values, of which there may be any number."""
-    forest = RandomForestClassifier(featuresCol="_features", labelCol="_target", predictionCol="_prediction", probabilityCol="_probability",
-                                    rawPredictionCol="_raw", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
-
     def fit(training: DataFrame, model: TrainedModel) -> TrainedModel:
-        numeric = [c for c in model.features if c not in model.text_features]
-        lows = dict(zip(numeric, _fills(training, numeric)))
-        training = training.select(*[F.nanvl(q(c), F.lit(None).cast("double")).alias(c) for c in model.features], "_target")
-        stages = [*_filled(model, [f"CAST({lows.get(c, 0.0)!r} AS DOUBLE)" for c in model.features]), forest,
+        spark, numeric = training.sparkSession, [c for c in model.features if c not in model.text_features]
+        table = written(training.select(*[F.nanvl(q(c), F.lit(None).cast("double")).alias(c) for c in model.features], "_target"), "training")
+        lows = dict(zip(numeric, _fills(table, numeric)))
+        filled = table.select(*[F.coalesce(q(c), F.lit(lows.get(c, 0.0))).alias(f"_filled{i}") for i, c in enumerate(model.features)], "_target")
+        grown, cuts = forest.train(filled, filled.columns[:-1], "_target", len(model.labels), trees, depth, seed)
+        columns = {"featuresCol": "_features", "labelCol": "_target", "predictionCol": "_prediction", "probabilityCol": "_probability", "rawPredictionCol": "_raw"}
+        stages = [*_filled(model, [f"CAST({lows.get(c, 0.0)!r} AS DOUBLE)" for c in model.features]),
+                  forest.as_model(spark, grown, cuts, len(model.labels), depth, seed, columns),
                   IndexToString(inputCol="_prediction", outputCol="predicted_label", labels=model.labels)]
-        model.pipeline = Pipeline(stages=stages).fit(training)
+        model.pipeline = PipelineModel(stages)
         return model
 
-    return _fit(df, label_col, features, fit)
+    return _fit(df, label_col, features, fit, spread=False)
 
 
 def train_boosted(df: DataFrame, label_col: str = "label", features: list[str] | None = None, rounds: int = 100, depth: int = 6,
