@@ -69,8 +69,12 @@ def _by_key(df: DataFrame, key: list[str], rows_per_cell: int) -> DataFrame:
 
 
 def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None,
-            rows_per_cell: int = ROWS_PER_CELL) -> Ordered:
-    """Prepares ``df`` for ranking: in seeded order, or by ``key`` itself when ``seed`` is None."""
+            rows_per_cell: int = ROWS_PER_CELL, keep: bool = False) -> Ordered:
+    """Prepares ``df`` for ranking: in seeded order, or by ``key`` itself when ``seed`` is None.
+
+    ``keep`` is for callers that read the result several times: without a key, copies are then numbered and hashes taken
+    once and written, 16 bytes of hash beside each row.
+    """
     by = [by] if isinstance(by, str) else list(by)
     digits = cell_digits(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if key is None:
@@ -82,6 +86,8 @@ def ordered(df: DataFrame, by: list[str], key: list[str] | str | None, seed=None
         df = df.withColumnRenamed("_copy", "_o1").withColumn("_o2", F.xxhash64(*[q(c) for c in plain]))
         order = ["_o0", "_o1", "_o2"]
         df = df.withColumn("_cell", hash_cell(q("_o0"), digits))
+        if keep:  # bytes have the order of their hexadecimal digits
+            df = written(df.drop("_o2").withColumn("_o0", F.unhex("_o0")), "ordered").withColumn("_o2", F.xxhash64(*[q(c) for c in plain]))
     else:
         key = [key] if isinstance(key, str) else list(key)
         columns = [q(k).alias(f"_o{i + (seed is not None)}") for i, k in enumerate(key)]
@@ -144,7 +150,7 @@ def take_first(df: DataFrame, by, take: Column, key=None, seed=None, out: str =
     optional table with the columns of ``by``. Only rows of the one cell in which a group's limit falls are ranked;
     every other row is decided by comparing it with its group's last taken row, so the table itself is not shuffled.
     """
-    o = ordered(df, by, key, seed, rows_per_cell)
+    o = ordered(df, by, key, seed, rows_per_cell, keep=True)
     by = [by] if isinstance(by, str) else list(by)
     cells = _cells(o)
     if targets is not None:

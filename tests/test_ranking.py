@@ -127,3 +127,14 @@ def test_no_cell_is_hot(spark, key):
     assert max(r["count"] for r in cells) <= 2000 and len(cells) > 15
     got = {r["id"]: r["rn"] for r in ranking.number_rows(df, (), key, rows_per_cell=1000).collect()}
     assert [got[r["id"]] for r in df.orderBy(*key).collect()] == list(range(1, 20_002))
+
+
+def test_copies_are_numbered_once_for_a_selection(spark):
+    """Without a key, the table is shuffled once to number its copies, and the flags are read from what was written then."""
+    df = local_table(spark, [(i % 40, "a" if i % 3 else "b") for i in range(300)], "x bigint, g string")
+    flagged = ranking.take_first(df, "g", F.lit(30), key=None, seed=5)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "hashpartitioning" not in plan
+    assert {r["g"]: (r["n"], r["t"]) for r in flagged.groupBy("g").agg(F.count("x").alias("n"), F.count_if("taken").alias("t")).collect()} == {"a": (200, 30), "b": (100, 30)}
+    numbered = ranking.number_rows(df, "g", key=None, seed=5, out="rn")
+    assert numbered.where("rn <= 30").drop("rn").exceptAll(flagged.where("taken").drop("taken")).count() == 0
