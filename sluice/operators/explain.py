@@ -6,8 +6,10 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions import direction, dtypes, explain_text, q, quoted
 from ..session import scratch_path
@@ -97,6 +99,15 @@ def contributions(leaves: list[list[tuple]], rows: np.ndarray, classes: np.ndarr
     return out, base
 
 
+def _first_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each class in a batch, so that the rows of a table need not be sorted to find its first ones."""
+    for batch in batches:
+        labels = batch.column(1).dictionary_encode().indices
+        order = pc.sort_indices(pa.table({"label": labels, "key": batch.column(0)}), sort_keys=[("label", "ascending"), ("key", "ascending")], null_placement="at_start")
+        labels = labels.take(order).to_numpy(zero_copy_only=False)
+        yield batch.take(order.filter(pa.array(np.append(True, labels[1:] != labels[:-1])[:len(labels)])))
+
+
 def explain_rows(model: TrainedModel, df: DataFrame, key: str, k: int = 3, all_rows: bool = False) -> DataFrame:
     """``(key, predicted_label, base, contributions, features, values)`` for the first row of each predicted class.
 
@@ -107,6 +118,8 @@ def explain_rows(model: TrainedModel, df: DataFrame, key: str, k: int = 3, all_r
     wanted = scored.select(q(f"_carry{position}").alias(key), "predicted_label", q("_prediction").cast("int").alias("_class"),
                            vector_to_array(q("_features")).alias("_row"))
     if not all_rows:
+        if isinstance(dtypes(df)[key], (T.StringType, T.IntegralType, T.DateType, T.TimestampType)):  # ordered by Arrow as by Spark
+            wanted = wanted.mapInArrow(_first_of_batches, wanted.schema)
         first = F.row_number().over(W.partitionBy("predicted_label").orderBy(q(key)))
         wanted = wanted.withColumn("_r", first).where(q("_r") == 1).drop("_r")
     schema = (f"{quoted(key)} {dtypes(df)[key].simpleString()}, predicted_label string, base double, contributions array<double>, "

@@ -133,3 +133,20 @@ def test_models_do_not_depend_on_the_cluster_and_take_missing_values(spark, data
 def test_training_partitions_follow_the_rows():
     """Tasks of the training stay small however many rows there are; small tables keep their models."""
     assert [models._training_partitions(n) for n in (0, 1000, 32 << 19, (32 << 19) + 1, 216_000_000)] == [32, 32, 32, 33, 412]
+
+
+def test_first_rows_are_found_without_sorting_the_table(spark, data, forest):
+    """Rows that cannot be the first of their class leave their batch before the sort; NULL keys come first."""
+    table = data.withColumn("id", F.when(q("id") == 7, None).otherwise(F.concat(F.lit("k"), q("id").cast("string")))).repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        found = explain.explain_rows(forest, table, "id")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r["predicted_label"]: r["id"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert plan.index("MapInPandas") < plan.index("Window") < plan.index("Sort") < plan.index("MapInArrow")
+    scored = [(r["predicted_label"], r["id"]) for r in models.score_batch(forest, table).select("predicted_label", "id").collect()]
+    want = {label: min((i for c, i in scored if c == label), key=lambda v: (v is not None, v)) for label, _ in scored}
+    assert got == want and None in want.values()
